@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, packing, toxicity
+from docketry.llm import langid, oracles, packing, pii, secret_scan, toxicity
 from docketry.session import table
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -29,9 +37,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
+    "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_pii": oracles.pii_sql(),
+    "op5_secrets": oracles.secrets_sql(),
+}
