@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, oracles, packing, pii, secret_scan, toxicity
+from docketry.llm import langid, multi_index, oracles, packing, pii, secret_scan, toxicity
 from docketry.session import table
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -37,6 +41,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multi_index": op1_multi_index,
     "op3_pii": op3_pii,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
