@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import langid, multi_index, oracles, packing, pii, secret_scan, toxicity
+from docketry.llm import decontaminate, langid, multi_index, oracles, packing, pii, secret_scan, toxicity
 from docketry.session import table
 
 
@@ -18,6 +18,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
 
@@ -43,6 +47,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multi_index": op1_multi_index,
     "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,

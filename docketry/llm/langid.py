@@ -74,10 +74,33 @@ def positions(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (code * _HASH) >> np.uint32(32 - BITS), at, starts
 
 
+def pieces(texts: list[str | None], size: int = 1_000_000) -> Iterator[list[tuple[int, str]]]:
+    """(text number, part of the text) in lots of about ``size`` characters.
+
+    Parts of a long text overlap by the two characters its trigrams need.
+    """
+    lot, held = [], 0
+    for n, text in enumerate(texts):
+        if not text:
+            continue
+        for at in range(0, len(text), size):
+            part = text[max(0, at - 2) : at + size]
+            lot.append((n, part))
+            held += len(part)
+            if held >= size:
+                yield lot
+                lot, held = [], 0
+    if lot:
+        yield lot
+
+
 def mean_features(texts: list[str]) -> np.ndarray:
-    h, at, starts = positions(texts)
-    doc = np.searchsorted(starts, at, side="right") - 1
-    x = np.bincount(doc * SIZE + h, minlength=len(texts) * SIZE).reshape(len(texts), SIZE).astype(np.float32)
+    x = np.zeros((len(texts), SIZE), dtype=np.float32)
+    for lot in pieces(texts):
+        h, at, starts = positions([t for _, t in lot])
+        part = np.searchsorted(starts, at, side="right") - 1
+        sums = np.bincount(part * SIZE + h, minlength=len(lot) * SIZE).reshape(len(lot), SIZE)
+        np.add.at(x, [n for n, _ in lot], sums.astype(np.float32))
     return x / np.maximum(x.sum(1, keepdims=True), 1)
 
 
@@ -126,10 +149,15 @@ class LanguageModel:
         rows = [i for i, t in enumerate(texts) if self.families and has_letter(t)]
         if not rows:
             return out
-        h, at, starts = positions([texts[i] for i in rows])
-        doc = np.searchsorted(starts, at, side="right") - 1
-        count = np.bincount(doc, minlength=len(rows))
-        total = np.stack([np.bincount(doc, c[h], minlength=len(rows)) for c in self.table.T], 1)
+        count = np.zeros(len(rows))
+        total = np.zeros((len(rows), self.table.shape[1]))
+        for lot in pieces([texts[i] for i in rows]):
+            h, at, starts = positions([t for _, t in lot])
+            part = np.searchsorted(starts, at, side="right") - 1
+            numbers = [n for n, _ in lot]
+            np.add.at(count, numbers, np.bincount(part, minlength=len(lot)))
+            sums = np.stack([np.bincount(part, c[h], minlength=len(lot)) for c in self.table.T], 1)
+            np.add.at(total, numbers, sums)
         margin = total / np.maximum(count, 1)[:, None] + self.bias
         many = len(self.families)
         for i, m in zip(rows, margin, strict=True):
@@ -178,11 +206,17 @@ def fit(docs: DataFrame, rows_per_lang: int = 600, max_langs: int = 24, id_col:
     learn = docs.select(F.col(id_col).alias("i"), "lang", F.col("text").alias("t")).where(
         (F.crc32(F.col("i").cast("string").cast("binary")) % folds != 0) & F.col("lang").isNotNull()
     )
-    common = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i")
+    common = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    # A share of the hashes that holds about three times the rows wanted comes
+    # first, so the exact choice below sees few rows of even the largest language.
+    near = F.lit(False)
+    for r in common:
+        share = min(1.0, (3 * rows_per_lang + 100) / r["count"])
+        near = near | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("i"), F.lit(1 << 20)), "i")
     chosen = (
         learn.select("i", "lang")
-        .join(F.broadcast(common.select("lang")), "lang")
+        .where(near)
         .withColumn("k", F.row_number().over(order))
         .where(F.col("k") <= rows_per_lang)
         .select("i", "lang")
@@ -210,10 +244,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", folds
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                made = model.predict(list(part["t"]))
-                yield pd.DataFrame({"i": part["i"].to_numpy(), "lang_pred": [m[0] for m in made], "score": [m[1] for m in made]})
+            made = model.predict(list(batch["t"]))
+            yield pd.DataFrame({"i": batch["i"].to_numpy(), "lang_pred": [m[0] for m in made], "score": [m[1] for m in made]})
 
     out = docs.select(F.col(id_col).cast("string").alias("i"), F.col("text").alias("t")).mapInPandas(
         run, "i string, lang_pred string, score double"
