@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, langid, multi_index, oracles, packing, pii, secret_scan, toxicity
+from docketry.llm import decontaminate, langid, multi_index, ngram_join, oracles, packing, pii, secret_scan, toxicity
 from docketry.session import table
 
 
@@ -44,6 +44,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multi_index": op1_multi_index,
     "op3_pii": op3_pii,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op9_packing": op9_packing,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
