@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, langid, multi_index, ngram_join, oracles, packing, pii, secret_scan, toxicity
+from docketry.llm import decontaminate, langid, licenses, multi_index, ngram_join, oracles, packing, pii, secret_scan, toxicity
 from docketry.session import table
 
 
@@ -36,6 +36,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_licenses": op8_licenses,
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
 }
