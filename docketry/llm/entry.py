@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import decontaminate, langid, licenses, multi_index, ngram_join, oracles, packing, pii, secret_scan, toxicity
+from docketry.llm import decontaminate, langid, licenses, multi_index, ngram_join, oracles, packing, pii, revisits, secret_scan, toxicity
 from docketry.session import table
 
 
@@ -14,6 +14,10 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"))
 
 
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.digest(revisits.resolve(revisits.captures(table(spark, sf_dir, "pages"))))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -54,6 +58,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multi_index": op1_multi_index,
+    "op2_revisits": op2_revisits,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_secrets": op5_secrets,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_revisits": oracles.revisits_sql(),
     "op3_pii": oracles.pii_sql(),
     "op5_secrets": oracles.secrets_sql(),
 }

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from docketry.llm import pii, secret_scan
+from docketry.llm import pii, revisits, secret_scan
 
-# The base patterns as the contract states them.
+# The base patterns as the contract states them; runs are maximal, so
+# the least length of a run may be asked for at once.
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[ -]?[0-9])+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "assign": r"""(?:(?i:password|passwd|secret|token|api_?key))["']? *[:=] *["']?[A-Za-z0-9+/_.=-]+""",
-    "access": "AKIA[A-Z0-9]+",
-    "hex": "[0-9a-f]+",
-    "entropy": "[A-Za-z0-9+/_=-]+",
+    "access": "AKIA[A-Z0-9]{16,}",
+    "hex": "[0-9a-f]{24,}",
+    "entropy": "[A-Za-z0-9+/_=-]{20,}",
 }
 
 
@@ -113,3 +114,30 @@ def secrets_sql() -> str:
         SELECT doc_id, CAST(n_assign AS BIGINT) AS n_assign, CAST(n_access AS BIGINT) AS n_access, CAST(n_hex AS BIGINT) AS n_hex,
             sha256(array_to_string(list_transform(list_sort(base), lambda x: x.v), ',')) AS base_sha256,
             array_to_string(list_transform(list_sort(base || more), lambda x: x.v), ',') AS spans FROM f"""
+
+
+def revisits_sql() -> str:
+    bare = "regexp_replace(trim(url), '#.*$', '')"
+    rest = f"regexp_replace({bare}, '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    site = f"lower(regexp_extract({rest}, '^([^/?]*)', 1))"
+    site = f"regexp_replace(regexp_replace({site}, '^[^@]*@', ''), '^www[0-9]*\\.', '')"
+    site = f"regexp_replace({site}, ':(?:80|443)$', '')"
+    path = f"regexp_replace(regexp_extract({rest}, '^[^/?]*([^?]*)', 1), '(?:/index\\.html?)?/*$', '')"
+    kept = (
+        f"list_sort(list_filter(string_split(regexp_extract({rest}, '\\?(.*)$', 1), '&'), "
+        f"lambda p: p <> '' AND NOT regexp_matches(lower(p), {quoted(revisits.TRACKING)})))"
+    )
+    return f"""WITH p AS (SELECT page_id, {site} || {path} || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END AS site,
+            '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, length(coalesce(html, '')) AS size,
+            sha1(coalesce(html, '')) AS sha FROM pages),
+        f AS (SELECT page_id * 2 AS id, site, page_id * 60 AS ts, tag, sha, page_id % 7 AS age, size FROM p),
+        v AS (SELECT page_id * 2 + 1 AS id, site, page_id * 60 + 30 + 60 * (page_id % 5000) AS ts,
+            CASE WHEN page_id % 7 = 6 THEN NULL WHEN page_id % 5 = 4 THEN '"changed"' ELSE tag END AS tag,
+            CASE WHEN page_id % 2 = 0 THEN sha END AS sha FROM p),
+        j AS (SELECT v.id AS revisit_id, v.site AS site, v.ts AS revisit_s, f.id AS response_id, f.ts AS response_s,
+            CASE WHEN f.id IS NULL THEN 'no_response' WHEN v.tag IS NOT NULL THEN CASE WHEN v.tag = f.tag THEN 'etag' ELSE 'mismatch' END
+                WHEN v.sha IS NOT NULL THEN CASE WHEN v.sha = f.sha THEN 'digest' ELSE 'mismatch' END ELSE 'no_validator' END AS verdict,
+            'cache-control: max-age=60; content-length: ' || f.size || '; content-type: text/html; etag: ' || f.tag AS headers
+            FROM v ASOF LEFT JOIN f ON v.site = f.site AND v.ts > f.ts)
+        SELECT revisit_id, site, revisit_s, response_id, response_s, verdict,
+            CASE WHEN verdict IN ('etag', 'digest') THEN headers END AS headers FROM j"""
