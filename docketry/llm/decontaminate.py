@@ -269,6 +269,14 @@ def find(
     return out
 
 
+def _clean(held):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not r for r in held.value.regions(list(texts))], dtype=bool)
+
+    return clean
+
+
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, q: int = 10, rate: float = 0.07, block_chars: int = 1_000_000
 ) -> DataFrame:
@@ -278,9 +286,5 @@ def drop_contaminated(
     for block in blocks(benchmark, block_chars):
         held = spark.sparkContext.broadcast(Benchmark(block, q, rate))
 
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, held=held) -> pd.Series:
-            return pd.Series([not r for r in held.value.regions(list(texts))], dtype=bool)
-
-        docs = docs.where(clean(F.col("text")))
+        docs = docs.where(_clean(held)(F.col("text")))
     return docs
