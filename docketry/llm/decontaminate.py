@@ -124,7 +124,7 @@ class Benchmark:
                     self._scan(lot, found)
                     lot, size = [], 0
         self._scan(lot, found)
-        return [sorted(f, key=lambda r: (r[1], r[0], r[2])) for f in found]
+        return [sorted(_apart(f), key=lambda r: (r[1], r[0], r[2])) for f in found]
 
     def _scan(self, lot: list[tuple[int, int, str]], found: list[set]) -> None:
         for item in self.short:
@@ -179,6 +179,16 @@ class Benchmark:
                     found[n].add((it.item_id, base + hit[0], base + hit[1], hit[2]))
 
 
+def _apart(regions: set) -> list[tuple[int, int, int, int]]:
+    """Of overlapping regions of one item the one with the fewest edits."""
+    kept: dict[int, list] = {}
+    for r in sorted(regions, key=lambda r: (r[0], r[3], r[1], r[2])):
+        own = kept.setdefault(r[0], [])
+        if not any(r[1] < k[2] and k[1] < r[2] for k in own):
+            own.append(r)
+    return [r for own in kept.values() for r in own]
+
+
 def align(item: Item, text: str, lo: int, hi: int) -> tuple[int, int, int] | None:
     """Best alignment of the whole item with a part of the text on diagonals lo..hi.
 

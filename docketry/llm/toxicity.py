@@ -61,7 +61,7 @@ class ToxicityModel:
         if text and self.weights:
             for word in self.weights.keys() & set(_WORD.findall(text.lower())):
                 z += self.weights[word]
-        return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
+        return 0.0 if z == -math.inf else 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
 def train_rows(
