@@ -55,6 +55,7 @@ from docketry.session import ship_package, write_shared
 BAND = 1.7
 LEAF = 64
 COARSE = 128
+KEYS = 64
 SENT = 2_000_000
 
 
@@ -119,6 +120,40 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-(a + b) * percent // (100 + percent))
 
 
+def coarse_point(s: np.ndarray) -> bytes:
+    """Counts of COARSE groups in a byte each; in large sets in units, rounded up."""
+    unit = 1 + len(s) // 8192
+    return (-(-point(s, COARSE) // unit)).astype(np.uint8).tobytes()
+
+
+def corners(raw: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Coarse points, none below the true counts."""
+    x = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, COARSE)
+    return x * (1 + sizes // 8192).astype(np.int32)[:, None]
+
+
+def first_met(key: int, left: list, right: list, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Which pairs (left[r], right[c]) share no bucket with a key smaller than ``key``."""
+
+    def below(lists: list, pad: int) -> np.ndarray:
+        wide = max(1, max(map(len, lists)))
+        out = np.full((len(lists), wide), pad, dtype=np.int64)
+        for i, ks in enumerate(lists):
+            ks = np.asarray(ks, dtype=np.int64)
+            ks = ks[ks < key]
+            out[i, : len(ks)] = ks
+        return out
+
+    # Only keys below ``key`` are entered, so the two paddings meet nothing.
+    x, y = below(left, key), below(right, (1 << 63) - 1)
+    out = np.ones(len(r), dtype=bool)
+    step = max(1, 2_000_000 // (x.shape[1] * y.shape[1]))
+    for at in range(0, len(r), step):
+        part = slice(at, at + step)
+        out[part] = ~(x[r[part]][:, :, None] == y[c[part]][:, None, :]).any((1, 2))
+    return out
+
+
 def sets_of(batch: pd.DataFrame, k: int) -> Iterator[np.ndarray]:
     return shingle_sets(list(batch["t"]), k)
 
@@ -163,7 +198,7 @@ class Join:
                 for s in sets_of(batch, k):
                     n = len(s)
                     fine = np.minimum(point(s, fine_groups(n)), 255).astype(np.uint8).tobytes() if n else b""
-                    rows.append((n, fingerprint(s), fine, point(s, COARSE).astype("<u2").tobytes() if n else b""))
+                    rows.append((n, fingerprint(s), fine, coarse_point(s) if n else b""))
                 made = pd.DataFrame(rows, columns=["n", "node", "fine", "coarse"])
                 made.insert(0, "i", batch["i"].to_numpy())
                 yield made
@@ -307,12 +342,15 @@ class Join:
         """Pairs of sets of different components (key, node, comp) that the leaves leave."""
         percent = self.percent
         order = Window.partitionBy("key").orderBy("comp", "n", "node")
+        # A set's smallest keys: a pair is reported in its first common bucket only.
+        # (Beyond the first KEYS it may be reported again, never lost.)
+        own = held.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, KEYS).alias("keys"))
         leaves = (
-            held.join(points.select("node", "n", "coarse"), "node")
+            held.join(points.select("node", "n", "coarse").join(own, "node"), "node")
             .withColumn("leaf", F.floor((F.row_number().over(order) - 1) / LEAF).cast("int"))
             .groupBy("key", "leaf")
             .agg(
-                F.collect_list(F.struct("node", "comp", "n", "coarse")).alias("x"),  # at most LEAF
+                F.collect_list(F.struct("node", "comp", "n", "coarse", "keys")).alias("x"),  # at most LEAF
                 F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
             )
         )
@@ -325,31 +363,35 @@ class Join:
             & ~((F.col("p.c0") == F.col("p.c1")) & (F.col("q.c0") == F.col("q.c1")) & (F.col("p.c0") == F.col("q.c0")))
         )
         joined = a.join(b, near).select(
-            *[F.col(f"{s}.x.{c}").alias(f"{s}_{c}") for s in "pq" for c in ("node", "comp", "n", "coarse")]
+            F.col("p.key").alias("key"),
+            *[F.col(f"{s}.x.{c}").alias(f"{s}_{c}") for s in "pq" for c in ("node", "comp", "n", "coarse", "keys")],
         )
 
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 out = []
-                for pn, pc, ps, pv, qn, qc, qs, qv in batch.itertuples(index=False, name=None):
+                for key, pn, pc, ps, pv, pk, qn, qc, qs, qv, qk in batch.itertuples(index=False, name=None):
                     pn, qn, pc, qc = map(np.asarray, (pn, qn, pc, qc))
                     ps, qs = np.asarray(ps, dtype=np.int64), np.asarray(qs, dtype=np.int64)
-                    x = np.frombuffer(b"".join(pv), dtype="<u2").reshape(-1, COARSE)
-                    y = np.frombuffer(b"".join(qv), dtype="<u2").reshape(-1, COARSE)
+                    x, y = corners(pv, ps), corners(qv, qs)
                     # The leaves' upper corners first, then point against corner, then points.
                     least = int(needed(int(ps.min()), int(qs.min()), percent))
-                    corner = y.max(0)
-                    if int(np.minimum(x.max(0), corner).sum(dtype=np.int64)) < least:
+                    top = y.max(0)
+                    if int(np.minimum(x.max(0), top).sum()) < least:
                         continue
-                    rows = np.flatnonzero(np.minimum(x, corner).sum(1, dtype=np.int64) >= needed(ps, int(qs.min()), percent))
-                    for r in rows.tolist():
+                    pairs = []
+                    for r in np.flatnonzero(np.minimum(x, top).sum(1) >= needed(ps, int(qs.min()), percent)).tolist():
                         ok = pc[r] != qc
                         if ok.any():
-                            want = needed(ps[r], qs, percent)
-                            ok &= np.minimum(x[r], y).sum(1, dtype=np.int64) >= want
-                            out += [(min(pn[r], z), max(pn[r], z)) for z in qn[ok]]
+                            ok &= np.minimum(x[r], y).sum(1) >= needed(ps[r], qs, percent)
+                            pairs.append(np.stack([np.full(int(ok.sum()), r), np.flatnonzero(ok)]))
+                    if pairs:
+                        r, c = np.concatenate(pairs, 1)
+                        fresh = first_met(key, pk, qk, r, c)
+                        a, b = pn[r[fresh]], qn[c[fresh]]
+                        out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
                 if out:
-                    yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+                    yield pd.DataFrame(np.unique(np.concatenate(out, 1), axis=1).T, columns=["a", "b"])
 
         return joined.mapInPandas(search, "a bigint, b bigint").distinct()
 
