@@ -12,12 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE_ROOT = str(Path(__file__).resolve().parent.parent)
 
 
+BATCH_ROWS = 2000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it.
+    """Make the session fit for this package's Python workers.
 
-    On a cluster without a common install, pass the package with ``--py-files``
-    as well; this only extends the workers' PYTHONPATH.
+    They must import it from where the driver found it (on a cluster without a
+    common install, pass the package with ``--py-files`` as well), and they hold
+    whole texts, so an Arrow batch has at most ``BATCH_ROWS`` rows.
     """
+    held = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(held)) <= BATCH_ROWS:
+        spark.conf.set(held, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in parts:
