@@ -8,11 +8,11 @@ points are indexed as a forest:
 
 * directory: the groups of a document are dealt into m blocks.  Two sets within
   the threshold differ in at most d elements, each of which spoils one block, so
-  with m = d + 1 + 2(e1 + e2) at least 1 + 2(e1 + e2) blocks are equal.  A document
-  enters the directory under the content of each block, but for the e1 lightest;
-  of its entries it then leaves out the e2 in the fullest buckets (the same bucket
-  size is seen by all who share it), which takes out the blocks that consist of
-  common passages.  One equal block is always left to meet in.
+  at least m - d blocks are equal.  A document enters the directory under the
+  content of each block, and then leaves out up to D = (m - d - 1) / 2 of its
+  entries, those in the fullest buckets (d for its own size, the worst over its
+  partners): blocks that consist of common passages go, and since both partners
+  together leave out fewer than m - d, one equal block is always left to meet in.
 * leaves: inside a bucket, points are packed into leaves of ``LEAF`` with their
   bounding corner; pairs of leaves, then pairs of points are dropped by the bound.
 * survivors meet the bound on their full points, and then are verified exactly
@@ -20,8 +20,8 @@ points are indexed as a forest:
 
 Copies: equal sets are one node, so copies are never paired.  Groups of near
 copies: first every bucket pairs its members with one leader; the links found
-join into components, and only buckets that still hold several components are
-searched in full, between components alone.  So no link between components is
+join into components, and only buckets whose other members still belong to several
+components are searched in full, between components alone.  So no link between components is
 missed, and a large group costs about a comparison a member, not all pairs.
 
 Sizes: m and d depend on the size band (ratio ``BAND``) of the smaller set; a
@@ -55,8 +55,10 @@ from docketry.session import ship_package, write_shared
 BAND = 1.7
 LEAF = 64
 COARSE = 128
-KEYS = 64
+BANDS = 60
+KEYS = 16
 SENT = 2_000_000
+SENT_BYTES = 8_000_000
 
 
 def band_limits(band: int) -> tuple[int, int]:
@@ -73,18 +75,27 @@ def band_of(n: int) -> int:
     return band
 
 
-def plan(band: int, percent: int) -> tuple[int, int, int]:
-    """(m, e1, e2) of a band; m is 0 where only equal sets are within the threshold."""
+def most_different(total: int, percent: int) -> int:
+    """Most elements by which two sets of ``total`` elements together may differ."""
+    return total * (100 - percent) // (100 + percent)
+
+
+def plan(band: int, percent: int) -> int:
+    """Blocks of a band; 0 where only equal sets are within the threshold."""
+    top = band_limits(band)[1]
+    d = most_different(top + top * 100 // percent, percent)
+    return d + 1 + 2 * (1 + d // 10) if d > 0 else 0
+
+
+def left_out(n: int, band: int, percent: int) -> int:
+    """Entries a set of n may leave out in a band (its own, or the one below)."""
     top = band_limits(band)[1]
-    d = (top + top * 100 // percent) * (100 - percent) // (100 + percent)
-    if d <= 0:
-        return 0, 0, 0
-    e1, e2 = d // 25, min(255, 1 + d // 20)
-    return d + 1 + 2 * (e1 + e2), e1, e2
+    partner = n * 100 // percent if n <= top else top
+    return max(0, (plan(band, percent) - most_different(n + partner, percent) - 1) // 2)
 
 
-def directory_keys(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]]) -> np.ndarray:
-    """Signed 64-bit bucket keys of a set; the low byte is e2."""
+def directory_keys(s: np.ndarray, percent: int, plans: dict[int, int]) -> np.ndarray:
+    """Signed 64-bit bucket keys of a set; the low byte is the band."""
     n = len(s)
     own = band_of(n)
     out = []
@@ -93,17 +104,14 @@ def directory_keys(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int,
             continue
         if band not in plans:
             plans[band] = plan(band, percent)
-        m, e1, e2 = plans[band]
+        m = plans[band]
         if not m:
             continue
         block = ((s >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
         content = np.zeros(m, dtype=np.uint64)
         np.add.at(content, block, mix(s ^ np.uint64(0x632BE59BD9B4E019 + band)))
-        count = np.bincount(block, minlength=m)
-        # Ties in weight by block number, alike for all who share a block.
-        use = np.argsort(count, kind="stable")[e1:]
-        key = mix(content[use] + use.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1))
-        out.append((key & ~np.uint64(255)) | np.uint64(e2))
+        key = mix(content + np.arange(m, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1))
+        out.append((key & ~np.uint64(255)) | np.uint64(band))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
 
 
@@ -211,7 +219,7 @@ class Join:
         k, percent = self.k, self.percent
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            plans: dict[int, tuple[int, int, int]] = {}
+            plans: dict[int, int] = {}
             for batch in batches:
                 seen: set[int] = set()
                 keys, nodes = [], []
@@ -229,7 +237,7 @@ class Join:
         return self.docs.mapInPandas(run, "key bigint, node bigint")
 
     def buckets(self) -> DataFrame:
-        """(key, node) of the buckets that hold several sets, without each set's fullest e2."""
+        """(key, node) of the buckets that hold several sets, without the fullest each set leaves out."""
         by_key = Window.partitionBy("key")
         shared = (
             self._directory()
@@ -238,13 +246,21 @@ class Join:
                 F.count("*").over(by_key).alias("held"),
             )
             .where(F.col("lo") != F.col("hi"))
+            .select("key", "node", "held", F.col("key").bitwiseAND(255).cast("int").alias("band"))
         )
-        drop = F.col("key").bitwiseAND(255)
-        fullest = Window.partitionBy("node", "drop").orderBy(F.desc("held"), "key")
+        sizes = self.nodes.where("n > 0").select("node", "n").distinct()
+        bands = range(BANDS)
+        lookup = lambda f: F.array(*[F.lit(f(b)) for b in bands])[F.col("band")]
+        top, m = lookup(lambda b: band_limits(b)[1]), lookup(lambda b: plan(b, self.percent))
+        p = F.lit(self.percent)
+        partner = F.when(F.col("n") <= top, F.floor(F.col("n") * 100 / p)).otherwise(top)
+        apart = F.floor((F.col("n") + partner) * (100 - p) / (100 + p))
+        drop = F.floor((m - apart - 1) / 2)  # as left_out()
+        fullest = Window.partitionBy("node", "band").orderBy(F.desc("held"), "key")
         return (
-            shared.select("key", "node", "held", drop.alias("drop"))
+            shared.join(sizes, "node")
             .withColumn("r", F.dense_rank().over(fullest))
-            .where(F.col("r") > F.col("drop"))
+            .where(F.col("r") > drop)
             .select("key", "node")
             .distinct()
         )
@@ -296,8 +312,9 @@ class Join:
 
             def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 node, to, part, role, rep = where.value
+                names = ["node", "to", "part", "role", "s"]
                 for batch in batches:
-                    rows = []
+                    rows, held = [], 0
                     for i, s in zip(batch["i"], sets_of(batch, k), strict=True):
                         if not len(s):
                             continue
@@ -306,9 +323,14 @@ class Join:
                         # Of copies only the representative sends.
                         if lo < hi and (i is None or not rep[lo] == rep[lo] or int(i) == rep[lo]):
                             raw = s.tobytes()
-                            rows += [(f, to[x], part[x], role[x], raw) for x in range(lo, hi)]
+                            for x in range(lo, hi):
+                                rows.append((f, to[x], part[x], role[x], raw))
+                                held += len(raw)
+                                if held > SENT_BYTES:  # a set goes to several places
+                                    yield pd.DataFrame(rows, columns=names)
+                                    rows, held = [], 0
                     if rows:
-                        yield pd.DataFrame(rows, columns=["node", "to", "part", "role", "s"])
+                        yield pd.DataFrame(rows, columns=names)
 
             sets = self.docs.mapInPandas(send, columns)
         else:
@@ -410,8 +432,9 @@ class Join:
         roots = components(links)
         by_key = Window.partitionBy("key")
         comp = F.coalesce("root", "node")
+        # Every member has met its leader; what is left are the pairs of the others.
         split = (
-            led.join(roots, "node", "left")
+            led.where("node != leader").join(roots, "node", "left")
             .select("key", "node", comp.alias("comp"))
             .select("key", "node", "comp", F.min("comp").over(by_key).alias("lo"), F.max("comp").over(by_key).alias("hi"))
             .where(F.col("lo") != F.col("hi"))

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-LOT = 1_000_000
+LOT = 500_000
 _BASE = 0x100000001B3
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -39,7 +39,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def _size(n: int) -> int:
-    return 1 << max(20, (n - 1).bit_length())
+    return 1 << max(19, (n - 1).bit_length())
 
 
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
