@@ -270,3 +270,76 @@ def document_review(elements: DataFrame, raw_rows: DataFrame, dropped: DataFrame
             lambda x: x.isNotNull(),
         ).alias("flags"),
     )
+
+
+def group_report(elements: DataFrame, accounting: DataFrame, group: Column) -> DataFrame:
+    """One row a group of documents: documents, rows accounted for, elements, and documents with each kind.
+
+    ``accounting``: doc, rows, used.  Two aggregations, the first on the document.
+    """
+    one = elements.groupBy("doc").agg(
+        F.count("*").alias("elements"), F.count_if(F.col("type") == "heading").alias("headings"),
+        F.max((F.col("paragraph_type") == "operative").cast("int")).alias("operative"),
+        F.max((F.col("paragraph_type") == "preambular").cast("int")).alias("preambular"), F.max((F.col("section") == "annex").cast("int")).alias("annex"),
+    )
+    rows = accounting.join(one, "doc", "left").na.fill(0)
+    return rows.groupBy(group.alias("group")).agg(
+        F.count("*").alias("documents"), F.round(100.0 * F.sum("used") / F.sum("rows"), 2).alias("accounted_pct"), F.sum("elements").alias("elements"),
+        F.sum("headings").alias("headings"), F.sum("operative").alias("with_operative"), F.sum("preambular").alias("with_preambular"), F.sum("annex").alias("with_annex"),
+    )
+
+
+def commonest(rows: DataFrame, value: Column, example: Column, n: int = 30, examples: int = 2) -> DataFrame:
+    """(value, n, examples): the n commonest values with their smallest examples.
+
+    Examples come from a group limit, so a common value does not gather all its rows.
+    """
+    pairs = rows.select(value.alias("value"), example.alias("example")).where("value IS NOT NULL")
+    top = pairs.groupBy("value").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(n)
+    order = Window.partitionBy("value").orderBy("example")
+    few = pairs.withColumn("__r", F.dense_rank().over(order)).where(F.col("__r") <= examples).groupBy("value").agg(F.array_sort(F.collect_set("example")).alias("examples"))
+    return top.join(few, "value")
+
+
+def attribution(children: DataFrame, rows: DataFrame) -> DataFrame:
+    """Children (child, symbol) whose first row is not their own printed heading."""
+    from docketry.operators.pages import heading_keys, printed_key
+
+    first = rows.groupBy(F.col("doc").alias("child")).agg(F.min_by("text", "position").alias("text"))
+    both = children.join(first, "child", "left").withColumn("__k", printed_key(F.col("text")))
+    return both.where(~F.col("__k").eqNullSafe(heading_keys(F.col("symbol")))).select("child", "symbol", "text")
+
+
+def verb_report(pairs: DataFrame) -> DataFrame:
+    """One row: coverage and agreement of two annotations of the same clauses.
+
+    ``pairs``: new_verb, old_verb, new_category, old_category, new_head, old_head.
+    Heads agree loosely: one holds the other.
+    """
+    both = F.col("new_verb").isNotNull() & F.col("old_verb").isNotNull()
+    same = lambda a, b: F.round(F.count_if(both & (F.col(a) == F.col(b))) / F.greatest(F.count_if(both), F.lit(1)), 4)
+    heads = F.col("new_head").isNotNull() & F.col("old_head").isNotNull()
+    a, b = F.lower("new_head"), F.lower("old_head")
+    return pairs.agg(
+        F.count("*").alias("clauses"), F.round(F.count_if(F.col("new_verb").isNotNull()) / F.greatest(F.count("*"), F.lit(1)), 4).alias("coverage"),
+        same("new_verb", "old_verb").alias("verb_agreement"), same("new_category", "old_category").alias("category_agreement"),
+        F.round(F.count_if(heads & (a.contains(b) | b.contains(a))) / F.greatest(F.count_if(heads), F.lit(1)), 4).alias("head_agreement"),
+    )
+
+
+def declared_headings(rows: DataFrame) -> DataFrame:
+    """(doc, position, text, how): headings a document itself declares, each text once.
+
+    By style, by a contents line (dot leaders and a page number), or by a bold line
+    of its own.  ``rows``: doc, position, text, style_id, bold.
+    """
+    from docketry.functions.text import heading_key
+
+    contents = F.col("text").rlike(r"\.{3,}\s*\d+\s*$")
+    how = (
+        F.when(F.col("style_id").rlike(r"(?i)^(H\d+[GM]?|HCh[GM]?|Heading\d+|ArtHead|SectionHead|ChapterHead)$"), "style")
+        .when(contents, "contents").when(F.col("bold") & (F.length("text") <= 120) & ~F.col("text").rlike(r"[.;,]\s*$"), "bold")
+    )
+    found = rows.select("doc", "position", "text", how.alias("how"), heading_key(F.col("text")).alias("__k")).where("how IS NOT NULL AND __k != ''")
+    first = Window.partitionBy("doc", "__k").orderBy("position")
+    return found.withColumn("__r", F.row_number().over(first)).where("__r = 1").drop("__r", "__k")

@@ -266,3 +266,27 @@ def paren_levels(markers: list[str]) -> list[tuple[int, str]]:
             open_lists = open_lists[:depth] + [chosen[1]]
         out.append((depth + 2, open_lists[depth][0]))
     return out
+
+
+def mended_breaks(rows: DataFrame) -> DataFrame:
+    """Rows torn by hard line breaks put together again.
+
+    A row joins the one before it, as it then stands, if that lacks closing
+    punctuation, the row starts nothing of its own, and it begins in lower case or
+    without the first-line indent the document's paragraphs have.  Whether a row joins
+    depends only on the last row of the run before it, so runs are islands.
+
+    ``rows``: doc, position, text, indent (first-line, 0 if none).
+    """
+    order = by_doc()
+    before = F.lag("text").over(order)
+    open_end = ~before.rlike(r"[.;:?!”\"]\s*$")
+    starts_own = F.col("text").rlike(r"^(?:\d{1,3}\.|\([A-Za-z0-9]{1,7}\)|[IVXLC]+\.|(?i:annex|appendix)\b|_{3,})")
+    lower = F.col("text").rlike(r"^\p{Ll}")
+    lost = (F.col("indent") == 0) & (F.max("indent").over(Window.partitionBy("doc")) > 0)
+    joins = F.coalesce(open_end & ~starts_own & (lower | lost), F.lit(False))
+    run = rows.withColumn("__run", island(~joins, so_far()))
+    parts = F.array_sort(F.collect_list(F.struct("position", "text")))
+    return run.groupBy("doc", "__run").agg(F.min("position").alias("position"), parts.alias("p")).select(
+        "doc", "position", F.array_join(F.transform("p", lambda x: x["text"]), " ").alias("text"), F.transform("p", lambda x: x["position"]).alias("raw_positions")
+    )

@@ -335,6 +335,33 @@ def label_agreement(spark: SparkSession, d: str) -> DataFrame:
     return audits.agreement(table(spark, d, "labels"), "quality", "toxic")
 
 
+@query(f"""WITH {L}, o AS (SELECT doc, count(*) AS e, count_if(type = 'heading') AS h, max(CASE WHEN paragraph_type = 'operative' THEN 1 ELSE 0 END) AS op,
+        max(CASE WHEN paragraph_type = 'preambular' THEN 1 ELSE 0 END) AS pre, max(CASE WHEN section = 'annex' THEN 1 ELSE 0 END) AS ann FROM l GROUP BY doc)
+    SELECT lang AS "group", count(*) AS documents, 100.0 AS accounted_pct, CAST(sum(e) AS BIGINT) AS elements, CAST(sum(h) AS BIGINT) AS headings,
+        CAST(sum(op) AS BIGINT) AS with_operative, CAST(sum(pre) AS BIGINT) AS with_preambular, CAST(sum(ann) AS BIGINT) AS with_annex
+    FROM documents JOIN o ON doc_id = doc GROUP BY lang""")
+def parse_group_report(spark: SparkSession, d: str) -> DataFrame:
+    rows = lines(spark, d)
+    n = rows.groupBy("doc").agg(F.count("*").alias("rows"), F.count("*").alias("used"))
+    langs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "lang")
+    report = audits.group_report(rows, n.join(langs, "doc"), F.col("lang"))
+    return report.withColumn("accounted_pct", F.col("accounted_pct").cast("double"))
+
+
+@query("""WITH p AS (SELECT regexp_replace(text, '^(\\S*).*$', '\\1', 's') AS value, conv_id AS example FROM conversations),
+    t AS (SELECT value, count(*) AS n FROM p GROUP BY value ORDER BY n DESC, value LIMIT 10)
+    SELECT t.value, t.n, (list_sort(list_distinct(list(p.example))))[1:2] AS examples FROM t JOIN p ON p.value = t.value GROUP BY t.value, t.n""")
+def commonest_heads(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations")
+    return audits.commonest(rows, F.regexp_extract("text", r"^(\S*)", 1), F.col("conv_id"), 10)
+
+
+@query("""SELECT o_orderkey, EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 5000) AS rich FROM orders""")
+def exists_flag(spark: SparkSession, d: str) -> DataFrame:
+    o, c = table(spark, d, "orders"), table(spark, d, "customer").where("c_acctbal > 5000").select("c_custkey").distinct()
+    return o.join(c, o["o_custkey"] == c["c_custkey"], "left").select("o_orderkey", F.col("c_custkey").isNotNull().alias("rich"))
+
+
 # ---- text -----------------------------------------------------------------------------
 
 

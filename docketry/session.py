@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -34,16 +35,25 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for checkpoints (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests, local mode) is one made.
+    Where the session names none: the warehouse on a cluster, a temporary folder in
+    local mode, where driver and executors are one process.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        current = spark.sparkContext.getCheckpointDir()
-        found = current or tempfile.mkdtemp(prefix="docketry-shared-")
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            found = tempfile.mkdtemp(prefix="docketry-shared-")
+        else:
+            found = spark.conf.get("spark.sql.warehouse.dir")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Delete this package's working tables; results that still read them must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/docketry")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

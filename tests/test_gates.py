@@ -218,3 +218,23 @@ def test_nightly_stages():
     out = nightly.run_stages([nightly.Stage("a", lambda: 3), nightly.Stage("b", broken), nightly.Stage("c", lambda: 1, lambda: 0)])
     assert [r["verdict"] for r in out.rows] == ["done", "failed", "skipped"] and out.exit_code == 1
     assert nightly.run_stages([]).exit_code == 1 and nightly.run_stages([nightly.Stage("a", lambda: 1)]).ok
+
+
+def test_mended_breaks(spark):
+    rows = [("d", 0, "The Board", 300), ("d", 1, "met and", 0), ("d", 2, "decided.", 0), ("d", 3, "1. New", 0), ("d", 4, "Other start", 300)]
+    out = sequences.mended_breaks(spark.createDataFrame(rows, "doc string, position int, text string, indent int")).orderBy("position").collect()
+    assert [(r.text, r.raw_positions) for r in out] == [("The Board met and decided.", [0, 1, 2]), ("1. New", [3]), ("Other start", [4])]
+
+
+def test_reports(spark):
+    pairs = spark.createDataFrame(
+        [("request", "request", "d", "d", "Board", "the board"), ("urge", "ask", "d", "d", None, "x"), (None, "note", None, "o", None, None)],
+        "new_verb string, old_verb string, new_category string, old_category string, new_head string, old_head string",
+    )
+    assert tuple(audits.verb_report(pairs).first()) == (3, 0.6667, 0.5, 1.0, 1.0)
+    rows = spark.createDataFrame([("d", 0, "Scope", "H1", False), ("d", 1, "Scope ..... 3", None, False), ("d", 2, "Aims", None, True), ("d", 3, "plain text.", None, False)],
+                                 "doc string, position int, text string, style_id string, bold boolean")
+    assert [(r.text, r.how) for r in audits.declared_headings(rows).orderBy("position").collect()] == [("Scope", "style"), ("Aims", "bold")]
+    kids = spark.createDataFrame([("a", "A/RES/1/1"), ("b", "A/RES/1/2"), ("c", "A/RES/1/3")], "child string, symbol string")
+    text = spark.createDataFrame([("a", 0, "1/1. First"), ("b", 0, "1/1. First"), ("b", 1, "x")], "doc string, position int, text string")
+    assert sorted(r.child for r in audits.attribution(kids, text).collect()) == ["b", "c"]
