@@ -159,7 +159,8 @@ def facets(docs: DataFrame, filters: Filters, limits: dict[str, int] | None = No
     first = F.when(F.col("facet") == "year", F.col("value")).desc_nulls_last()
     rank = F.row_number().over(Window.partitionBy("facet").orderBy(first, F.desc("n"), "value"))
     cap = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("facet")]
-    return counts.withColumn("__r", rank).where(F.col("__r") <= cap).drop("__r")
+    # The plain bound lets a group limit run before the shuffle; the facet's own comes after.
+    return counts.withColumn("__r", rank).where((F.col("__r") <= max(limits.values())) & (F.col("__r") <= cap)).drop("__r")
 
 
 def statistics(docs: DataFrame) -> DataFrame:
