@@ -11,6 +11,7 @@ with odds below 1e-12.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+_SPACE = re.compile(rb"[ \t\n\v\f\r]")
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -31,15 +33,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_KEPT = 1 << 20
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers; kept for lots of the usual size, made anew for longer words."""
+    return _kept_powers(base)[:n] if n <= _KEPT else _made_powers(base, n)
+
+
 @functools.cache
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def _kept_powers(base: int) -> np.ndarray:
+    return _made_powers(base, _KEPT)
 
 
-def _size(n: int) -> int:
-    return 1 << max(19, (n - 1).bit_length())
+def _made_powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,16 +58,29 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     blank = _BLANK[raw]
     edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=np.int8(1)))
     start, end = edge[::2], edge[1::2]
-    size = _size(len(raw))
     running = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((_FOLD[raw].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, size)[: len(raw)], out=running[1:])
-    h = (running[end] - running[start]) * _powers(_INVERSE, size)[start]
+    np.cumsum((_FOLD[raw].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(raw)), out=running[1:])
+    h = (running[end] - running[start]) * _powers(_INVERSE, len(raw))[start]
     limits = np.cumsum([len(t) + 1 for t in texts])
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), np.searchsorted(limits, start, side="right")
 
 
+def parts(text: bytes, size: int) -> Iterator[bytes]:
+    """A text cut at white space into parts of about ``size`` bytes (longer where a word is)."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + size)
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    h, of = words(texts)
+    if len(texts) == 1 and len(texts[0]) > LOT:  # a long text's words, part by part
+        h = np.concatenate([words([part])[0] for part in parts(texts[0], LOT)])
+        of = np.zeros(len(h), dtype=np.int64)
+    else:
+        h, of = words(texts)
     first = np.searchsorted(of, np.arange(len(texts) + 1))
     n = max(0, len(h) - k + 1)
     both = np.zeros(n, dtype=np.uint64)
@@ -84,8 +107,12 @@ def shingle_sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
     lot: list[bytes] = []
     held = 0
     for text in texts:
-        lot.append((text or "").encode("utf-8", "surrogatepass"))
-        held += len(lot[-1])
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        if len(raw) > LOT and lot:
+            yield from _sets(lot, k)
+            lot, held = [], 0
+        lot.append(raw)
+        held += len(raw)
         if held >= LOT:
             yield from _sets(lot, k)
             lot, held = [], 0

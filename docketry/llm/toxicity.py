@@ -51,6 +51,15 @@ WORD = r"\p{L}+"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+LONG = 2_000_000
+
+
+def distinct_words(text: str) -> set[str]:
+    """The lower-cased words of a text; of a long one without a list of them all."""
+    low = text.lower()
+    return set(_WORD.findall(low)) if len(low) <= LONG else {m.group() for m in _WORD.finditer(low)}
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     bias: float
@@ -59,7 +68,7 @@ class ToxicityModel:
     def score(self, text: str | None) -> float:
         z = self.bias
         if text and self.weights:
-            for word in self.weights.keys() & set(_WORD.findall(text.lower())):
+            for word in self.weights.keys() & distinct_words(text):
                 z += self.weights[word]
         return 0.0 if z == -math.inf else 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 

@@ -104,3 +104,12 @@ def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, 3), (3, 9), (50, 50)]
     out = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(out[i] == 100 for i in range(100, 141)) and out[9] == out[7] == 3 and out[50] == 50
+
+
+def test_long_texts_are_cut_at_words(monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("x" * rng.randint(1, 30) + str(rng.randrange(50)) for _ in range(n)) for n in (3, 400, 5, 900)] + ["y" * 3000, "a b"]
+    want = [s.tolist() for s in shingles.shingle_sets(texts, 4)]
+    monkeypatch.setattr(shingles, "LOT", 700)
+    assert [s.tolist() for s in shingles.shingle_sets(texts, 4)] == want
+    assert b"".join(shingles.parts(b"ab cd  ef", 1)) == b"ab cd  ef"
