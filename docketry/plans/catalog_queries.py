@@ -544,6 +544,98 @@ def semantic_parse(spark: SparkSession, d: str) -> DataFrame:
     return parsed.groupBy("record", "type", "reason").agg(F.count("*").alias("n"))
 
 
+# ---- ledger ---------------------------------------------------------------------------
+
+
+def _dated(spark: SparkSession, d: str) -> DataFrame:
+    """Dated catalogue rows with several rows a symbol."""
+    k = F.col("o_orderkey")
+    return table(spark, d, "orders").select(
+        k.alias("recid"), F.concat(F.when(k % 5 == 0, "X/").otherwise("A/RES/"), F.col("o_custkey").cast("string")).alias("symbol"),
+        F.when(k % 7 != 0, F.col("o_orderdate").cast("date")).alias("published"),
+        F.when(k % 3 == 0, F.array(F.lit("eng"), F.lit("fre"))).when(k % 3 == 1, F.array(F.lit("fre"))).otherwise(F.array().cast("array<string>")).alias("languages"),
+    )
+
+
+DATED = """z AS (SELECT o_orderkey AS recid, CASE WHEN o_orderkey % 5 = 0 THEN 'X/' ELSE 'A/RES/' END || o_custkey AS symbol,
+    CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS published, o_orderkey % 3 AS tongue FROM orders)"""
+
+
+@query(f"""WITH {DATED}, w AS (SELECT recid, symbol, published, row_number() OVER (PARTITION BY symbol ORDER BY recid DESC) AS n FROM z
+    WHERE starts_with(symbol, 'A/RES/') AND tongue <> 1 AND published >= DATE '1995-01-01')
+    SELECT recid, symbol, published FROM w WHERE n = 1 AND symbol NOT IN (SELECT 'A/RES/' || c_custkey FROM customer WHERE c_custkey % 4 = 0)""")
+def ledger_targets(spark: SparkSession, d: str) -> DataFrame:
+    held = table(spark, d, "customer").where("c_custkey % 4 = 0").select(F.concat(F.lit("A/RES/"), F.col("c_custkey").cast("string")).alias("symbol"))
+    return ledger.targets(_dated(spark, d), held, date(1995, 1, 1)).select("recid", "symbol", "published")
+
+
+@query(f"""WITH {DATED}, w AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY recid DESC) AS n FROM z), u AS (SELECT DISTINCT symbol FROM z WHERE tongue = 1)
+    SELECT u.symbol, 'unavailable' AS status, w.published FROM u JOIN w ON u.symbol = w.symbol WHERE n = 1 AND published >= DATE '1997-01-01' - 400""")
+def recheck_recent(spark: SparkSession, d: str) -> DataFrame:
+    cat = _dated(spark, d)
+    missing = cat.where("recid % 3 = 1").select("symbol", F.lit("unavailable").alias("status")).distinct()
+    return ledger.recheck(missing, cat, date(1997, 1, 1), 400)
+
+
+@query("""WITH c AS (SELECT c_custkey AS key, ['A/DEC/' || (c_custkey % 40), 'A/RES/' || c_custkey] AS candidates FROM customer),
+    k AS (SELECT 'A/DEC/' || o_custkey AS symbol FROM orders WHERE o_custkey < 20 UNION SELECT 'A/RES/' || o_custkey FROM orders WHERE o_custkey % 2 = 0)
+    SELECT key, CASE WHEN candidates[1] IN (SELECT symbol FROM k) THEN candidates[1] WHEN candidates[2] IN (SELECT symbol FROM k) THEN candidates[2] END AS symbol,
+        CASE WHEN candidates[1] IN (SELECT symbol FROM k) THEN 'write' WHEN candidates[2] IN (SELECT symbol FROM k) THEN 'cross_check' ELSE 'unmatched' END AS route FROM c""")
+def route_candidates(spark: SparkSession, d: str) -> DataFrame:
+    name = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    kids = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.array(name("A/DEC/", F.col("c_custkey") % 40), name("A/RES/", F.col("c_custkey"))).alias("candidates"))
+    o = table(spark, d, "orders")
+    known = o.where("o_custkey < 20").select(name("A/DEC/", F.col("o_custkey")).alias("symbol")).unionByName(o.where("o_custkey % 2 = 0").select(name("A/RES/", F.col("o_custkey")).alias("symbol")))
+    return ledger.route(kids, known)
+
+
+@query("""WITH f AS (SELECT doc_id AS doc, 'low' AS "check" FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 'toxic' FROM labels WHERE toxic = 1)
+    SELECT doc, "check" FROM f WHERE NOT (doc % 3 = 0 AND "check" = 'low')""")
+def new_findings(spark: SparkSession, d: str) -> DataFrame:
+    found = _findings(spark, d)
+    return audits.new_findings(found, found.where("doc % 3 = 0 AND check = 'low'")).select("doc", "check")
+
+
+def _findings(spark: SparkSession, d: str) -> DataFrame:
+    lab = table(spark, d, "labels").withColumnRenamed("doc_id", "doc")
+    return lab.where("quality = 0").select("doc", F.lit("low").alias("check")).unionByName(lab.where("toxic = 1").select("doc", F.lit("toxic").alias("check")))
+
+
+@query("""WITH f AS (SELECT doc_id AS doc, 'low' AS c FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 'toxic' FROM labels WHERE toxic = 1)
+    SELECT doc, count(DISTINCT c) AS checks, coalesce(max(n_chars), 0) AS citations FROM f LEFT JOIN documents ON doc_id = doc AND lang = 'en' GROUP BY doc""")
+def worst_first(spark: SparkSession, d: str) -> DataFrame:
+    weights = table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("doc"), F.col("n_chars").alias("citations"))
+    return audits.worst_first(_findings(spark, d), weights)
+
+
+# ---- regions, breaks, coverage ----------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT conv_id AS doc, min(CASE WHEN role = 'assistant' THEN turn END) AS s, max(turn) + 1 AS last FROM conversations GROUP BY conv_id),
+    e AS (SELECT doc, min(turn) AS e FROM conversations JOIN s ON conv_id = doc WHERE role = 'user' AND turn > s GROUP BY doc)
+    SELECT s.doc, coalesce(s, 0) AS start, coalesce(e, last) AS "end", CASE WHEN s IS NULL THEN 'unlocatable' WHEN e IS NULL THEN 'whole' ELSE 'heading' END AS mode FROM s LEFT JOIN e ON e.doc = s.doc""")
+def own_region(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("position"), "role")
+    return sequences.own_region(rows, F.col("role") == "assistant", F.col("role") == "user")
+
+
+@query(f"""WITH {L}, b AS (SELECT doc, position, text, lag(text) OVER (PARTITION BY doc ORDER BY position) AS before FROM l),
+    j AS (SELECT *, coalesce(NOT regexp_matches(before, '[.;:?!”"]\\s*$') AND NOT regexp_matches(text, '^(?:\\d{{1,3}}\\.|\\([A-Za-z0-9]{{1,7}}\\)|[IVXLC]+\\.|(?i:annex|appendix)\\b|_{{3,}})')
+        AND regexp_matches(text, '^\\p{{Ll}}'), false) AS joins FROM b),
+    r AS (SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY position) AS run FROM j)
+    SELECT doc, min(position) AS position, string_agg(text, ' ' ORDER BY position) AS text FROM r GROUP BY doc, run""")
+def mended_breaks(spark: SparkSession, d: str) -> DataFrame:
+    rows = lines(spark, d).select("doc", "position", "text", F.lit(0).alias("indent"))
+    return sequences.mended_breaks(rows).select("doc", "position", "text")
+
+
+@query(f"""WITH {BAGS}, t AS (SELECT a.doc, count(*) AS types, count(b.tok) AS covered FROM a LEFT JOIN b ON a.doc = b.doc AND a.tok = b.tok GROUP BY a.doc)
+    SELECT doc, types, covered, CASE WHEN covered / types >= 0.97 THEN 'pass' ELSE 'fail' END AS verdict FROM t""")
+def type_coverage(spark: SparkSession, d: str) -> DataFrame:
+    source, parsed = _two_versions(spark, d)
+    return bags.type_coverage(source, parsed)
+
+
 # ---- actions --------------------------------------------------------------------------
 
 CLAUSES = (
