@@ -337,7 +337,7 @@ def label_agreement(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {L}, o AS (SELECT doc, count(*) AS e, count_if(type = 'heading') AS h, max(CASE WHEN paragraph_type = 'operative' THEN 1 ELSE 0 END) AS op,
         max(CASE WHEN paragraph_type = 'preambular' THEN 1 ELSE 0 END) AS pre, max(CASE WHEN section = 'annex' THEN 1 ELSE 0 END) AS ann FROM l GROUP BY doc)
-    SELECT lang AS "group", count(*) AS documents, 100.0 AS accounted_pct, CAST(sum(e) AS BIGINT) AS elements, CAST(sum(h) AS BIGINT) AS headings,
+    SELECT lang AS "group", count(*) AS documents, CAST(100.0 AS DOUBLE) AS accounted_pct, CAST(sum(e) AS BIGINT) AS elements, CAST(sum(h) AS BIGINT) AS headings,
         CAST(sum(op) AS BIGINT) AS with_operative, CAST(sum(pre) AS BIGINT) AS with_preambular, CAST(sum(ann) AS BIGINT) AS with_annex
     FROM documents JOIN o ON doc_id = doc GROUP BY lang""")
 def parse_group_report(spark: SparkSession, d: str) -> DataFrame:
@@ -492,7 +492,7 @@ def lookahead_confirm(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH s AS (SELECT conv_id, turn, role, length(text) AS n, turn - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations)
     SELECT conv_id AS volume, role AS child, turn AS start, n FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY n DESC, conv_id, turn) AS r FROM s) WHERE r = 1""")
 def longest_slice_wins(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("volume"), F.col("role").alias("child"), F.col("turn").alias("start"), F.length("text").alias("n"))
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("volume"), F.col("role").alias("child"), F.col("turn").alias("start"), F.length("text").cast("long").alias("n"))
     return sequences.longest_slice(rows)
 
 
@@ -681,7 +681,7 @@ def usage_daily_7d(spark: SparkSession, d: str) -> DataFrame:
     return usage.daily(calls(spark, d), NOW)
 
 
-@query("""SELECT 'key:' || user_id AS caller, count_if(ts >= TIMESTAMP '2024-01-20') AS today, count_if(ts >= TIMESTAMP '2024-01-01') AS month
+@query("""SELECT 'key:' || user_id AS caller, count(*) FILTER (ts >= TIMESTAMP '2024-01-20') AS today, count(*) FILTER (ts >= TIMESTAMP '2024-01-01') AS month
     FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:00:00' GROUP BY ALL""")
 def usage_today_month(spark: SparkSession, d: str) -> DataFrame:
     return usage.today_and_month(calls(spark, d), NOW)
