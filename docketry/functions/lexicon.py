@@ -155,6 +155,9 @@ QUANTIFIERS = ("all relevant", "all other", "all the", "the relevant", "relevant
 
 # Verbs that govern the items below a clause that ends in a colon.
 GOVERNING = {"decide": "decide", "resolve": "resolve", "commit": "commit", "agree": "agree", "pledge": "pledge", "undertake": "commit"}
+GOVERNS = r"(?i)\b(decide|resolve|commit|agree|pledge|undertake)s?\b[^:]{0,45}\bto:\s*$"
+GOVERNED = r"(?i)\b(?:are|is|have been|has been)\s+(encouraged|invited|urged|requested|reminded|called upon)\b"
+CHAPTER_SEVEN = r"(?i)^acting\b.{0,40}\bchapter\s+vii"
 PASSIVE = {"encouraged": "encourage", "invited": "invite", "urged": "urge", "requested": "request", "reminded": "remind", "called upon": "call upon"}
 
 

@@ -110,15 +110,20 @@ def leading_marker(text: Column) -> Column:
     return F.coalesce(*[F.nullif(x, F.lit("")) for x in (for_number, for_paren, for_dotted)])
 
 
+# Labelled, delimited and bare Roman prefixes of headings.
+HEADING_PREFIXES = (
+    r"(?i)^((?:action|goal|objective|priority|target|article|annex|appendix|chapter|section|part|principle|pillar|phase|step)\s+[\dIVXLCM]+[.:]?)\s+(\S.*)$",
+    r"^((?:[IVXLCM]{1,6}|[A-Z]|\d{1,3})[.:)])\s+(\S.*)$",
+    r"^([IVX]{1,6})\s+([A-Z]\S.*)$",
+)
+# Fixed value: label, numeral and title of an annex heading.
+ANNEX_HEADING = r"(?i)^(annex|appendix)(?:\s+([ivxlcdm]+|[a-z]|\d{1,3})\b)?(?:\s*[-–—:.]\s*|\s+)?(\S.*)?$"
+
+
 def heading_parts(text: Column) -> Column:
     """struct(prefix, title): labelled, delimited or bare Roman prefixes of a heading."""
-    patterns = (
-        r"(?i)^((?:action|goal|objective|priority|target|article|annex|appendix|chapter|section|part|principle|pillar|phase|step)\s+[\dIVXLCM]+[.:]?)\s+(\S.*)$",
-        r"^((?:[IVXLCM]{1,6}|[A-Z]|\d{1,3})[.:)])\s+(\S.*)$",
-        r"^([IVX]{1,6})\s+([A-Z]\S.*)$",
-    )
     out = F.struct(F.lit(None).cast("string").alias("prefix"), text.alias("title"))
-    for p in reversed(patterns):
+    for p in reversed(HEADING_PREFIXES):
         out = F.when(
             text.rlike(p), F.struct(F.regexp_extract(text, p, 1).alias("prefix"), F.regexp_extract(text, p, 2).alias("title"))
         ).otherwise(out)
@@ -127,8 +132,7 @@ def heading_parts(text: Column) -> Column:
 
 def annex_parts(text: Column) -> Column:
     """struct(label, numeral, title) of an annex or appendix heading."""
-    p = r"(?i)^(annex|appendix)(?:\s+([ivxlcdm]+|[a-z]|\d{1,3})\b)?(?:\s*[-–—:.]\s*|\s+)?(\S.*)?$"
-    part = lambda i: F.nullif(F.regexp_extract(text, p, i), F.lit(""))
+    part = lambda i: F.nullif(F.regexp_extract(text, ANNEX_HEADING, i), F.lit(""))
     return F.struct(F.initcap(part(1)).alias("label"), part(2).alias("numeral"), part(3).alias("title"))
 
 

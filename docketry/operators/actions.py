@@ -114,7 +114,7 @@ def describe(rows: DataFrame, text: str = "text", kind: str = "paragraph_type",
     # A participle in an operative item is no head of its own.
     gerund = operative & (e["form"] == "preambular") & c("found").rlike("(?i)ing$")
     marker = F.from_json(F.lit(json.dumps({"marker": "chapter_vii", "inherited": False})), ACTION)
-    own = F.when(c("s").rlike(r"(?i)^acting\b.{0,40}\bchapter\s+vii"), marker).when(e.isNotNull() & ~F.coalesce(gerund, F.lit(False)), made)
+    own = F.when(c("s").rlike(lx.CHAPTER_SEVEN), marker).when(e.isNotNull() & ~F.coalesce(gerund, F.lit(False)), made)
     return work.withColumn(out, own).drop(*[f"__{name}" for name, _ in steps])
 
 
@@ -123,8 +123,8 @@ def governing(text: Column) -> Column:
     _, lemmas, _ = _table()
     entries = F.from_json(F.lit(lemmas), f"map<string,{ENTRY}>")
     t = squeeze(text)
-    active = F.lower(F.regexp_extract(t, r"(?i)\b(decide|resolve|commit|agree|pledge|undertake)s?\b[^:]{0,45}\bto:\s*$", 1))
-    passive = F.lower(F.regexp_extract(t, r"(?i)\b(?:are|is|have been|has been)\s+(encouraged|invited|urged|requested|reminded|called upon)\b", 1))
+    active = F.lower(F.regexp_extract(t, lx.GOVERNS, 1))
+    passive = F.lower(F.regexp_extract(t, lx.GOVERNED, 1))
     names = F.create_map(*[F.lit(x) for kv in (lx.GOVERNING | lx.PASSIVE).items() for x in kv])
     word = F.when(active != "", active).otherwise(F.nullif(passive, F.lit("")))
     e = entries[names[word]]
