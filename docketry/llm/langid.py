@@ -11,8 +11,8 @@ is scored by summing table look-ups over its positions: whole texts, one pass,
 nothing per document but a few sums.
 
 Training reads at most ``rows_per_lang`` documents of each of at most
-``max_langs`` languages (the most frequent, ties to the smaller name), chosen
-by a hash of the id.
+``max_langs`` languages (the most frequent, ties to the smaller name), and at most
+``max_rows`` in all, chosen by a hash of the id.
 
 Defined cases: null texts and texts without a letter give ``und`` with score 0;
 null ids are scored, never learnt from; with no trained language every text is
@@ -201,12 +201,16 @@ def fit_local(langs: list[str], x: np.ndarray) -> LanguageModel:
     return LanguageModel(families, members, tuple(pairs), table, np.array(biases))
 
 
-def fit(docs: DataFrame, rows_per_lang: int = 600, max_langs: int = 24, id_col: str = "doc_id", folds: int = 5) -> LanguageModel:
+def fit(
+    docs: DataFrame, rows_per_lang: int = 600, max_langs: int = 24, max_rows: int = 4800, id_col: str = "doc_id", folds: int = 5
+) -> LanguageModel:
+    """Train on the driver from feature rows made by Spark; at most ``max_rows`` in all."""
     ship_package(docs.sparkSession)
     learn = docs.select(F.col(id_col).alias("i"), "lang", F.col("text").alias("t")).where(
         (F.crc32(F.col("i").cast("string").cast("binary")) % folds != 0) & F.col("lang").isNotNull()
     )
     common = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    rows_per_lang = min(rows_per_lang, max(1, max_rows // max(1, len(common))))
     # A share of the hashes that holds about three times the rows wanted comes
     # first, so the exact choice below sees few rows of even the largest language.
     near = F.lit(False)
