@@ -304,7 +304,7 @@ class Join:
         amount = sent.count()
         if not amount:
             return pairs.select("a", "b")
-        if amount <= SENT:  # 28 bytes a row in the broadcast, at most
+        if amount <= SENT:  # 40 bytes a row in the broadcast
             held = sent.toPandas().sort_values(["node", "to", "part"], kind="stable")
             where = self.spark.sparkContext.broadcast(
                 (held["node"].to_numpy(), held["to"].to_numpy(), held["part"].to_numpy(), held["role"].to_numpy(), held["rep"].to_numpy(dtype="float64", na_value=np.nan) if held["rep"].isna().any() else held["rep"].to_numpy())
@@ -464,7 +464,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id")
     return Join(docs, k, percent, id_col).result()
 
 
-def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, bound: int = 4_000_000) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, bound: int = 1_000_000) -> DataFrame:
     """One document of each component (the smallest id), all columns kept.
 
     Rows with a null id cannot be named and stay; of rows with one id and one set
