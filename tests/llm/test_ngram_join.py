@@ -106,6 +106,24 @@ def test_components_of_chains(spark):
     assert all(out[i] == 100 for i in range(100, 141)) and out[9] == out[7] == 3 and out[50] == 50
 
 
+def test_components_of_a_long_chain(spark):
+    names = random.Random(5).sample(range(1 << 40), 1001)
+    edges = list(zip(names, names[1:], strict=False))
+    out = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(out) == 1001 and {r.root for r in out} == {min(names)}
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(600), rng.randrange(600)) for _ in range(280)] + [(1000, i) for i in range(700, 720)]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    out = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(out) == len(root) and {r.node: r.root for r in out} == root
+
+
 def test_long_texts_are_cut_at_words(monkeypatch):
     rng = random.Random(9)
     texts = [" ".join("x" * rng.randint(1, 30) + str(rng.randrange(50)) for _ in range(n)) for n in (3, 400, 5, 900)] + ["y" * 3000, "a b"]
