@@ -407,14 +407,21 @@ def catalog_dates(spark: SparkSession, d: str) -> DataFrame:
 # ---- bags -----------------------------------------------------------------------------
 
 
-def _two_versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _two_versions(spark: SparkSession, d: str, which: str = "true") -> tuple[DataFrame, DataFrame]:
     """The texts, and a damaged copy: every seventh line lost, a word added to each document."""
-    rows = parse.lines_as_rows(table(spark, d, "documents").where("lang = 'en'"))
+    rows = parse.lines_as_rows(table(spark, d, "documents").where(which))
     kept = rows.where("position % 7 <> 6").select("doc", "position", "text")
     more = rows.where("position = 0").select("doc", F.lit(-1).alias("position"), F.lit("fabricatedword").alias("text"))
     return bags.token_rows(rows, "doc", "position", "text"), bags.token_rows(kept.unionByName(more), "doc", "position", "text")
 
 
+def _difference(source: DataFrame, parsed: DataFrame) -> DataFrame:
+    counted = lambda t: t.groupBy("doc", "tok").agg(F.count("*").alias("n"))
+    return bags.minus(counted(source), counted(parsed))
+
+
+#: The documents that the SQL below reads; conservation_gate and the queries named _all read every document.
+ENGLISH = "lang = 'en'"
 BAGS = """r0 AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS t FROM documents WHERE lang = 'en'),
     r1 AS (SELECT doc, unnest(range(0, len(t))) AS position, unnest(t) AS text FROM r0),
     glued AS (SELECT doc, position, regexp_extract_all(regexp_replace(lower(text), '[-‐‑‒–­''’‘`]', '', 'g'), '[a-z0-9]+') AS k FROM r1),
@@ -424,14 +431,17 @@ BAGS = """r0 AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS t FROM doc
 
 @query(f"WITH {BAGS} SELECT a.doc, a.tok, a.n - coalesce(b.n, 0) AS n FROM a LEFT JOIN b ON a.doc = b.doc AND a.tok = b.tok WHERE a.n - coalesce(b.n, 0) > 0")
 def bag_difference(spark: SparkSession, d: str) -> DataFrame:
-    source, parsed = _two_versions(spark, d)
-    counted = lambda t: t.groupBy("doc", "tok").agg(F.count("*").alias("n"))
-    return bags.minus(counted(source), counted(parsed))
+    return _difference(*_two_versions(spark, d, ENGLISH))
+
+
+@query()
+def bag_difference_all(spark: SparkSession, d: str) -> DataFrame:
+    return _difference(*_two_versions(spark, d))
 
 
 @query(f"WITH {BAGS} SELECT DISTINCT doc, 'fabricatedword' AS tok FROM a")
 def invented_words(spark: SparkSession, d: str) -> DataFrame:
-    source, parsed = _two_versions(spark, d)
+    source, parsed = _two_versions(spark, d, ENGLISH)
     return bags.invented(source, parsed).where("tok = 'fabricatedword'").select("doc", "tok")
 
 
