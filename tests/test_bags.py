@@ -59,6 +59,27 @@ def test_difference_of_every_document(spark, folder):
     assert sorted(map(tuple, cq.QUERIES["bag_difference_all"](spark, folder).collect())) == sorted(want)
 
 
+def test_invented_words_are_all_reported(spark, folder):
+    want = sorted((d, t, n) for d, s, p in versions() for t, n in invented(s, p).items())
+    assert sorted(map(tuple, cq.QUERIES["invented_words_all"](spark, folder).collect())) == want
+
+
+@pytest.mark.parametrize("name", ["invented_words", "invented_words_all"])
+def test_no_report_of_the_operator_is_hidden(spark, folder, monkeypatch, name):
+    alarm = spark.createDataFrame([(1, "falsealarm", 1)], "doc long, tok string, n long")
+    real = cq.bags.invented
+    monkeypatch.setattr(cq.bags, "invented", lambda s, p: real(s, p).unionByName(alarm))
+    assert {"falsealarm", "fabricatedword"} == {r.tok for r in cq.QUERIES[name](spark, folder).collect()}
+
+
+
+def test_operator_is_brute_force(spark):
+    source, parsed = (tokens(t) for t in ("a plain long sentence of words over kerb", "a plain sent words ofwords zebra overkerb zebra ker"))
+    rows = lambda ts: spark.createDataFrame([(1, k, t) for k, t in enumerate(ts)], "doc long, k int, tok string")
+    got = cq.bags.invented(rows(source), rows(parsed)).collect()
+    assert {r.tok: r.n for r in got} == invented(source, parsed) and ("zebra", 2) in {(r.tok, r.n) for r in got}
+
+
 def test_gate_judges_every_document(spark, folder):
     want = []
     for d, s, p in versions():
