@@ -16,6 +16,9 @@ excess is cut off and moved to windows with room (``cut=True``; ids are never
 lost or repeated), and a window is added once no room is left, or
 (``cut=False``) the number of windows rises and the differencing is repeated.
 
+Ids are those of the vocabulary's JSON form without further settings, so the
+marker of an added token (``ADDED``) in a text is that token's one id.
+
 Defined cases: null and empty texts are the end id alone; repeated rows and
 null ids are packed like any others; an empty table gives an empty result;
 columns other than the id and the text are ignored.
@@ -125,20 +128,30 @@ def pack_shard(sizes: list[int], capacity: int, cut: bool = True) -> list[list[t
     return out
 
 
+#: The vocabulary's added tokens; its rank file does not hold them.
+ADDED = {"<|endoftext|>": 50256}
+
+
 @functools.cache
-def _encoding(vocabulary: str):
+def _encoding(vocabulary: str, added: bool = False):
     import public_tokenizers
     import tiktoken
 
     with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED if added else {}
     )
 
 
-def encode(text: str | None, vocabulary: str, end_id: int) -> np.ndarray:
-    ids = _encoding(vocabulary).encode_ordinary(text) if text else []
+def encode(text: str | None, vocabulary: str, end_id: int, added: bool = False) -> np.ndarray:
+    """Ids and the end id; with ``added`` the marker of an added token is that token, else plain text."""
+    if not text:
+        ids = []
+    elif added:
+        ids = _encoding(vocabulary, True).encode(text, allowed_special="all")
+    else:
+        ids = _encoding(vocabulary).encode_ordinary(text)
     ids.append(end_id)
     return np.array(ids, dtype="<u4")
 
@@ -191,7 +204,7 @@ def pack(
             made: list[tuple] = []
             for doc, text in zip(batch["i"], batch["t"], strict=True):
                 doc = None if doc is None or doc is pd.NA or doc != doc else int(doc)
-                ids = encode(text, vocabulary, end_id)
+                ids = encode(text, vocabulary, end_id, added=True)
                 full = len(ids) // capacity * capacity
                 for at in range(0, full, capacity):
                     crc = zlib.crc32(ids[at : at + capacity].tobytes())

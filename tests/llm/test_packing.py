@@ -79,6 +79,23 @@ def test_round_trip(spark):
         assert at <= 2048
 
 
+PLAIN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+MARKED = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "end <|endoftext|>\n\n  next", "<|endoftext|", "<|ENDOFTEXT|> <|endoftext|> é 日本"]
+
+
+@pytest.mark.parametrize("text", ["plain words", "", *MARKED])
+def test_added_tokens_are_those_of_the_plain_call(text):
+    assert packing.encode(text, RANKS, 1, added=True).tolist() == [*PLAIN.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_packed_ids_are_those_of_the_plain_call(spark):
+    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string")
+    out = {r.doc_id: r for r in packing.pack(docs, RANKS).collect()}
+    for i, text in enumerate(MARKED):
+        ids = np.array([*PLAIN.encode(text, add_special_tokens=False).ids, 1], dtype="<u4")
+        assert (out[i].doc_tokens, out[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs, RANKS).collect() == []
