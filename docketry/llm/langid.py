@@ -10,9 +10,9 @@ A model is linear in the mean of per-position features, so a text of any length
 is scored by summing table look-ups over its positions: whole texts, one pass,
 nothing per document but a few sums.
 
-Training reads at most ``rows_per_lang`` documents of each of at most
-``max_langs`` languages (the most frequent, ties to the smaller name), and at most
-``max_rows`` in all, chosen by a hash of the id.
+Training reads at most ``rows_per_lang`` documents of every language, chosen by a
+hash of the id.  The driver holds one family's at a time; the families' own
+machines learn from at most about ``max_rows`` of all, the same of each language.
 
 Defined cases: null texts and texts without a letter give ``und`` with score 0;
 null ids are scored, never learnt from; with no trained language every text is
@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.session import ship_package
+from docketry.session import ship_package, write_shared
 
 # Language families by ISO 639-1 code; a code not listed is its own family.
 FAMILIES: dict[str, str] = {
@@ -177,69 +177,92 @@ class LanguageModel:
         return out
 
 
-def fit_local(langs: list[str], x: np.ndarray) -> LanguageModel:
+def fit_family(langs: list[str], x: np.ndarray) -> list[tuple[tuple[str, str], np.ndarray, float]]:
+    """A machine for each pair of the languages of one family."""
     names = sorted(set(langs))
-    family = {c: FAMILIES.get(c, c) for c in names}
-    families = tuple(sorted(set(family.values())))
-    members = tuple(tuple(c for c in names if family[c] == f) for f in families)
     of = np.array(langs, dtype=object)
-    columns, biases, pairs = [], [], []
-    for f in families:
-        y = np.array([1.0 if family[c] == f else -1.0 for c in langs], dtype=np.float32)
-        w, b = svm(x, y) if len(families) > 1 else (np.zeros(SIZE), 0.0)
-        columns.append(w)
-        biases.append(b)
-    for langs_of in members:
-        for i, a in enumerate(langs_of):
-            for c in langs_of[i + 1 :]:
-                keep = (of == a) | (of == c)
-                w, b = svm(x[keep], np.where(of[keep] == a, 1.0, -1.0).astype(np.float32))
-                columns.append(w)
-                biases.append(b)
-                pairs.append((a, c))
-    table = np.stack(columns, 1) if columns else np.zeros((SIZE, 0))
-    return LanguageModel(families, members, tuple(pairs), table, np.array(biases))
-
-
-def fit(
-    docs: DataFrame, rows_per_lang: int = 600, max_langs: int = 24, max_rows: int = 4800, id_col: str = "doc_id", folds: int = 5
-) -> LanguageModel:
-    """Train on the driver from feature rows made by Spark; at most ``max_rows`` in all."""
-    ship_package(docs.sparkSession)
+    made = []
+    for i, a in enumerate(names):
+        for c in names[i + 1 :]:
+            keep = (of == a) | (of == c)
+            made.append(((a, c), *svm(x[keep], np.where(of[keep] == a, 1.0, -1.0).astype(np.float32))))
+    return made
+
+
+def family_of(lang: str) -> str:
+    return FAMILIES.get(lang, lang)
+
+
+def fit_tops(langs: list[str], x: np.ndarray) -> list[tuple[str, np.ndarray, float]]:
+    """A machine for each family against the rest."""
+    of = np.array([family_of(c) for c in langs], dtype=object)
+    families = sorted(set(of))
+    if len(families) < 2:
+        return [(f, np.zeros(SIZE), 0.0) for f in families]
+    return [(f, *svm(x, np.where(of == f, 1.0, -1.0).astype(np.float32))) for f in families]
+
+
+def assembled(langs: list[str], tops: list[tuple], inner: list[tuple]) -> LanguageModel:
+    families = tuple(f for f, _, _ in tops)
+    members = tuple(tuple(c for c in sorted(set(langs)) if family_of(c) == f) for f in families)
+    machines = [*tops, *inner]
+    table = np.stack([w for _, w, _ in machines], 1) if machines else np.zeros((SIZE, 0))
+    return LanguageModel(families, members, tuple(p for p, _, _ in inner), table, np.array([b for _, _, b in machines]))
+
+
+def fit(docs: DataFrame, rows_per_lang: int = 600, max_rows: int = 4800, id_col: str = "doc_id", folds: int = 5) -> LanguageModel:
+    """Train on the driver from feature rows made by Spark, every language outside the held-out fold."""
+    spark = docs.sparkSession
+    ship_package(spark)
     learn = docs.select(F.col(id_col).alias("i"), "lang", F.col("text").alias("t")).where(
         (F.crc32(F.col("i").cast("string").cast("binary")) % folds != 0) & F.col("lang").isNotNull()
     )
-    common = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    rows_per_lang = min(rows_per_lang, max(1, max_rows // max(1, len(common))))
+    seen = learn.groupBy("lang").count().collect()
     # A share of the hashes that holds about three times the rows wanted comes
     # first, so the exact choice below sees few rows of even the largest language.
-    near = F.lit(False)
-    for r in common:
-        share = min(1.0, (3 * rows_per_lang + 100) / r["count"])
-        near = near | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < int(share * (1 << 20))))
-    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("i"), F.lit(1 << 20)), "i")
+    shares = [(r["lang"], int(min(1.0, (3 * rows_per_lang + 100) / r["count"]) * (1 << 20))) for r in seen]
+    near = F.broadcast(spark.createDataFrame(shares, "lang string, below int"))
+    spot = F.pmod(F.xxhash64("i"), F.lit(1 << 20))
+    order = Window.partitionBy("lang").orderBy(spot, "i")
     chosen = (
         learn.select("i", "lang")
-        .where(near)
+        .join(near, "lang")
+        .where(spot < F.col("below"))
         .withColumn("k", F.row_number().over(order))
         .where(F.col("k") <= rows_per_lang)
-        .select("i", "lang")
-        .distinct()
+        .groupBy("i", "lang")
+        .agg(F.min("k").alias("k"))
     )
-    # At most rows_per_lang * max_langs rows of an id and a code.
-    rows = learn.join(F.broadcast(chosen), ["i", "lang"]).where(F.length("t") > 0).select("lang", "t")
+    # At most rows_per_lang rows of an id and a code for each language; repeats of one pair are one row.
+    rows = learn.join(F.broadcast(chosen), ["i", "lang"]).where(F.length("t") > 0)
+    rows = rows.groupBy("i", "lang").agg(F.min("k").alias("k"), F.min("t").alias("t")).select("lang", "k", "t")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at : at + 200]
                 x = mean_features(list(part["t"]))
-                yield pd.DataFrame({"lang": part["lang"].to_numpy(), "x": [r.astype(np.float16).tobytes() for r in x]})
-
-    held = rows.mapInPandas(run, "lang string, x binary").limit(2 * rows_per_lang * max_langs).collect()
-    held.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in held]).astype(np.float32) if held else np.zeros((0, SIZE))
-    return fit_local([r["lang"] for r in held], x)
+                made = [r.astype(np.float16).tobytes() for r in x]
+                yield pd.DataFrame({"lang": part["lang"].to_numpy(), "k": part["k"].to_numpy(), "x": made})
+
+    features = write_shared(rows.mapInPandas(run, "lang string, k int, x binary"), "language-rows")
+
+    def held(part: DataFrame) -> tuple[list[str], np.ndarray]:
+        found = sorted(part.select("lang", "x").collect(), key=lambda r: (r["lang"], bytes(r["x"])))
+        x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in found]).astype(np.float32) if found else np.zeros((0, SIZE))
+        return [r["lang"] for r in found], x
+
+    langs = sorted(r["lang"] for r in features.select("lang").distinct().collect())
+    each = max(1, max_rows // max(1, len(langs)))
+    lead = Window.partitionBy("lang").orderBy("k", "x")
+    first = features if each >= rows_per_lang else features.withColumn("k", F.row_number().over(lead)).where(F.col("k") <= each)
+    tops = fit_tops(*held(first))
+    inner: list[tuple] = []
+    for f, _, _ in tops:
+        own = [c for c in langs if family_of(c) == f]
+        if len(own) > 1:
+            inner += fit_family(*held(features.where(F.col("lang").isin(own))))
+    return assembled(langs, tops, inner)
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", folds: int = 5) -> DataFrame:

@@ -31,6 +31,20 @@ def test_hierarchy_separates_languages(spark):
     assert all(out[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= out[i].score <= 1 for i, _, _ in plain)
 
 
+def test_every_language_has_a_machine(spark):
+    codes = [*langid.FAMILIES][:26] + [f"x{i}" for i in range(4)]
+    stems = [chr(97 + i % 26) + chr(97 + 5 * i % 26) + chr(97 + (7 * i + i // 26) % 26) for i in range(len(codes))]
+    rows = [(100 * n + k, " ".join(stems[n] * (1 + (k + j) % 3) for j in range(8)), c) for n, c in enumerate(codes) for k in range(20 if n < 24 else 12)]
+    rows += [(9999, rows[0][1], codes[0])] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, rows_per_lang=10, max_rows=120)
+    assert {c for m in model.members for c in m} == set(codes)
+    out = langid.predict(docs, model).where("doc_id <> 9999").collect()
+    right = {r.doc_id for r in out if r.lang_pred == codes[r.doc_id // 100]}
+    assert len(right) >= 0.95 * (len(rows) - 300)
+    assert all(any(i // 100 == n for i in right) for n in range(len(codes)))
+
+
 def test_long_texts_are_summed_in_pieces():
     model = langid.LanguageModel(("a", "b"), (("x",), ("y",)), (), __import__("numpy").random.default_rng(0).normal(size=(langid.SIZE, 2)), __import__("numpy").zeros(2))
     one = text("en", 1, 500)
