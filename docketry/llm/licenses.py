@@ -7,7 +7,11 @@ word is outside the model's domain and is not listed.  The probabilities are
 calibrated by a temperature chosen on held-out training paragraphs; ``unknown``
 wins whenever no family reaches ``LEAST``.  A predicted family must then be
 confirmed: at least ``CONFIRM`` of the paragraph's distinct pairs of neighbouring
-words stand in the family's templates, or it becomes ``unknown``.
+words stand in the family's templates, or it becomes ``unknown``.  A line that is
+``unknown`` as a whole may hold a notice among other words: its windows of
+``WIDTHS`` words that have a licence word are classified as well, under the
+stricter share ``WITHIN``, and the line takes the family of the best confirmed one
+(largest share, then widest, then first).  A line gives one row.
 
 Training happens on the driver, in a second, from the fixed notices below and
 their croppings; nothing is learnt from the corpus, so every run has the same
@@ -32,11 +36,13 @@ from pyspark.sql import functions as F
 
 ANCHOR = (
     r"(?i)licen[cs]|copyright|warrant|permission|redistribut|rights reserved|public domain|creative commons|spdx|"
-    r"proprietary|gnu general|gnu lesser|all rights"
+    r"proprietary|gnu general|gnu lesser|all rights|\bcc[ -]by\b|\bcc0\b|\b[al]?gpl|\bmpl\b|mozilla public|apache|\bbsd\b"
 )
 UNKNOWN = "unknown"
 LEAST = 0.5
 CONFIRM = 0.4
+WIDTHS = (6, 10, 16)
+WITHIN = 0.6
 
 # Customary notices of the families, as training text and templates.
 NOTICES: dict[str, tuple[str, ...]] = {
@@ -137,8 +143,22 @@ class LicenceModel:
     pairs: dict[str, list[str]]  # family -> pairs of neighbouring words in its notices
 
     def score(self, text: str) -> tuple[str, float, float]:
-        """(family, probability, containment) of a paragraph."""
+        """(family, probability, containment) of a paragraph, or of the best window of one unknown as a whole."""
         words = word_list(text)
+        whole = self.judge(words, CONFIRM)
+        if whole[0] != UNKNOWN:
+            return whole
+        found = []
+        for width in WIDTHS:
+            for at in range(len(words) - width + 1):
+                window = words[at : at + width]
+                if re.search(ANCHOR, " ".join(window)):
+                    made = self.judge(window, WITHIN)
+                    if made[0] != UNKNOWN:
+                        found.append(((made[2], width, -at), made))
+        return max(found)[1] if found else whole
+
+    def judge(self, words: list[str], confirm: float) -> tuple[str, float, float]:
         known = [g for g in grams(words) if g in self.weights]
         z = list(self.bias)
         for g in known:
@@ -148,7 +168,7 @@ class LicenceModel:
         family = FAMILIES[best]
         own = list(dict.fromkeys(" ".join(words[i : i + 2]) for i in range(len(words) - 1)))
         shared = len(set(own) & set(self.pairs[family])) / len(own) if own else 0.0
-        if family == UNKNOWN or shares[best] < LEAST or shared < CONFIRM:
+        if family == UNKNOWN or shares[best] < LEAST or shared < confirm:
             family = UNKNOWN
         return family, shares[best], shared
 
@@ -240,8 +260,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     words = F.filter(F.split(F.lower("paragraph"), "[^a-z0-9]+"), lambda w: w != "")
 
-    def runs(n: int) -> Column:
-        w = F.col("words")
+    def runs(w: Column, n: int) -> Column:
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
@@ -249,29 +268,62 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     weights = constant(model.weights, "map<string,array<double>>")
     bias = constant(model.bias, "array<double>")
     pairs = constant([model.pairs[f] for f in FAMILIES], "array<array<string>>")
+    every = constant(sorted({p for f in FAMILIES if f != UNKNOWN for p in model.pairs[f]}), "array<string>")
     names = constant(list(FAMILIES), "array<string>")
-    z = F.aggregate(
-        F.array_intersect(F.concat("words", "two", "three"), known),
-        bias,
-        lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, b: a + b),
-    )
-    top = F.array_max("z")
-    return (
-        lines.select("doc_id", "line", words.alias("words"))
-        .select("doc_id", "line", "words", runs(2).alias("two"), runs(3).alias("three"))
-        .select("doc_id", "line", F.array_distinct("two").alias("two"), z.alias("z"))
-        .select(
-            "doc_id", "line", "two", F.array_position("z", top).cast("int").alias("best"),
-            (1 / F.aggregate("z", F.lit(0.0), lambda acc, v: acc + F.exp(v - F.array_max("z")))).alias("score"),
+
+    def sums(w: Column) -> Column:
+        return F.aggregate(
+            F.array_intersect(F.concat(w, runs(w, 2), runs(w, 3)), known),
+            bias,
+            lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, b: a + b),
         )
+
+    def best(z: Column) -> Column:
+        return F.array_position(z, F.array_max(z)).cast("int")
+
+    def probability(z: Column) -> Column:
+        return 1 / F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - F.array_max(z)))
+
+    def share(two: Column, templates: Column) -> Column:
+        return F.when(F.size(two) > 0, F.size(F.array_intersect(two, templates)) / F.size(two)).otherwise(0.0)
+
+    def windows(width: int) -> Column:
+        w = F.col("words")
+        starts = F.when(
+            (F.col("family") == UNKNOWN) & (F.size(w) >= width), F.sequence(F.lit(1), F.size(w) - (width - 1))
+        ).otherwise(F.array().cast("array<int>"))
+        cut = F.transform(starts, lambda i: F.struct((-i).alias("at"), F.slice(w, i, width).alias("w")))
+        return F.filter(cut, lambda c: F.array_join(c["w"], " ").rlike(ANCHOR))
+
+    whole = (
+        lines.select("doc_id", "line", words.alias("words"))
+        .select("doc_id", "line", "words", F.array_distinct(runs(F.col("words"), 2)).alias("two"), sums(F.col("words")).alias("z"))
+        .select("doc_id", "line", "words", "two", best(F.col("z")).alias("best"), probability(F.col("z")).alias("score"))
         .select(
-            "doc_id", "line", "score", F.element_at(names, F.col("best")).alias("named"),
-            F.when(F.size("two") > 0, F.size(F.array_intersect("two", F.element_at(pairs, F.col("best")))) / F.size("two"))
-            .otherwise(0.0).alias("containment"),
+            "doc_id", "line", "words", "score", F.element_at(names, F.col("best")).alias("named"),
+            share(F.col("two"), F.element_at(pairs, F.col("best"))).alias("containment"),
         )
         .select(
-            "doc_id", "line",
+            "doc_id", "line", "words", "score", "containment",
             F.when((F.col("score") >= LEAST) & (F.col("containment") >= CONFIRM), F.col("named")).otherwise(UNKNOWN).alias("family"),
-            "score", "containment",
         )
     )
+    # Windows that no template could confirm go first; what is left is classified.
+    kept = F.concat(*[windows(width) for width in WIDTHS])
+    kept = F.transform(kept, lambda c: F.struct(c["at"].alias("at"), c["w"].alias("w"), F.array_distinct(runs(c["w"], 2)).alias("two")))
+    kept = F.filter(kept, lambda c: share(c["two"], every) >= WITHIN)
+    kept = F.transform(kept, lambda c: F.struct(c["at"].alias("at"), F.size(c["w"]).alias("width"), c["two"].alias("two"), sums(c["w"]).alias("z")))
+    judged = F.transform(
+        "kept",
+        lambda c: F.struct(
+            share(c["two"], F.element_at(pairs, best(c["z"]))).alias("containment"), c["width"].alias("width"), c["at"].alias("at"),
+            F.element_at(names, best(c["z"])).alias("family"), probability(c["z"]).alias("score"),
+        ),
+    )
+    sure = F.filter(judged, lambda c: (c["family"] != UNKNOWN) & (c["score"] >= LEAST) & (c["containment"] >= WITHIN))
+    top = F.col("top")
+    return (
+        whole.withColumn("kept", kept)
+        .withColumn("top", F.array_max(sure))
+        .select("doc_id", "line", *[F.coalesce(top[c], F.col(c)).alias(c) for c in ("family", "score", "containment")])
+    )

@@ -34,6 +34,27 @@ def test_families_and_unknown():
         assert all(model.score(n)[0] == family for n in notices)
 
 
+WITHIN = [
+    ("Copyright (c) 2021 Jane Doe. Released under the MIT License. See the file COPYING for details.", "mit"),
+    ("The photographs in this book were taken by the author over many years of travel. Licensed under CC BY-NC 4.0.", "cc"),
+    ("Our little parser, written in one summer, is released under the MIT License and anybody who likes it may send us a card", "mit"),
+    ("Distributed under CC BY-SA 4.0.", "cc"), ("Use is subject to MPL 2.0", "mpl"), ("Available under the terms of GPLv3.", "gpl"),
+]
+
+
+def test_notices_within_longer_lines(spark):
+    others = list(licenses.NOTICES[licenses.UNKNOWN])
+    text = "\n".join([line for line, _ in WITHIN] + others + [" ".join(others)])
+    out = {r.line: r for r in licenses.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()}
+    model = licenses.trained()
+    for n, (line, family) in enumerate(WITHIN):
+        assert out[n].family == family, line
+    assert {out[n].family for n in out if n >= len(WITHIN)} == {"unknown"} and len(out) == len(WITHIN) + len(others) + 1
+    for n, line in enumerate(text.split("\n")):
+        family, score, containment = model.score(line)
+        assert out[n].family == family and abs(out[n].score - score) < 1e-9 and out[n].containment == containment
+
+
 def test_plan_is_native_and_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     found = licenses.find(docs)
