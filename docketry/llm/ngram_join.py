@@ -19,17 +19,23 @@ points are indexed as a forest:
   on the sets.
 
 Copies: equal sets are one node, so copies are never paired.  Groups of near
-copies: first every bucket pairs its members with one leader; the links found
-join into components, and only buckets whose other members still belong to several
-components are searched in full, between components alone.  So no link between components is
-missed, and a large group costs about a comparison a member, not all pairs.
+copies: first every bucket pairs its members with one leader, and the links found
+join into components.  In buckets whose other members still belong to several
+components, every set then meets the partner of another component with the
+highest bound in each leaf.  Only what is still apart after that is searched in full, between
+components alone.  So no link between components is missed, and a large group costs
+some comparisons a member, not all pairs.
 
 Sizes: m and d depend on the size band (ratio ``BAND``) of the smaller set; a
 document enters its own band and, where its partner may be smaller, the one
 below.  Sets of up to five n-grams or so (d = 0) meet only their equals.
 
-Threshold: ``percent`` in hundredths, compared in whole numbers.  Hashes are 64
-bits; ids of sets likewise.
+Threshold: ``percent`` in hundredths, compared in whole numbers.  Hashes of n-grams
+are 64 bits.  A set's id is 64 bits with a second hash of 64 beside it: where two
+differing sets share an id, both go by the second.
+
+Texts are read three times: for sizes and ids, for the directory, and, of the sets
+that share a bucket, for their points and elements, which are written once.
 
 Defined cases: null, empty and blank texts have the empty set, link with nothing
 and are their own component; rows repeated are one node; a component's id is its
@@ -49,16 +55,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.components import components
-from docketry.llm.shingles import fingerprint, mix, shingle_sets
-from docketry.session import ship_package, write_shared
+from docketry.llm.shingles import fingerprint, mix, second_print, shingle_sets
+from docketry.session import ship_package, unused, write_shared
 
 BAND = 1.7
 LEAF = 64
 COARSE = 128
 BANDS = 60
 KEYS = 16
-SENT = 2_000_000
-SENT_BYTES = 8_000_000
+BATCH_BYTES = 8_000_000
 
 
 def band_limits(band: int) -> tuple[int, int]:
@@ -194,29 +199,42 @@ class Join:
         ship_package(self.spark)
         self.k, self.percent = k, percent
         self.docs = docs.select(F.col(id_col).cast("string").alias("i"), F.col("text").alias("t"))
-        self.nodes = write_shared(self._points(), "join-points")
+        found = write_shared(self._sizes(), "join-nodes")
+        # Two sets with one id: as good as never, and then both take their second hash.
+        alike = found.groupBy("node").agg(F.min("spare").alias("lo"), F.max("spare").alias("hi")).where("lo != hi")
+        self.shared_ids = frozenset(r["node"] for r in alike.select("node").collect())
+        node = F.col("node")
+        self.nodes = found.select(
+            "doc_id", "n", F.when(node.isin(*self.shared_ids), F.col("spare")).otherwise(node).alias("node") if self.shared_ids else node
+        )
+
+    def identify(self):
+        """Function from a set to its id."""
+        alike = self.shared_ids
 
-    def _points(self) -> DataFrame:
-        """One row a document: id, size, set id, fine and coarse point."""
+        def of(s: np.ndarray) -> int:
+            node = fingerprint(s)
+            return second_print(s) if node in alike else node
+
+        return of
+
+    def _sizes(self) -> DataFrame:
+        """One row a document: id, size, set id and a second hash of the set."""
         k = self.k
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = []
-                for s in sets_of(batch, k):
-                    n = len(s)
-                    fine = np.minimum(point(s, fine_groups(n)), 255).astype(np.uint8).tobytes() if n else b""
-                    rows.append((n, fingerprint(s), fine, coarse_point(s) if n else b""))
-                made = pd.DataFrame(rows, columns=["n", "node", "fine", "coarse"])
+                rows = [(len(s), fingerprint(s), second_print(s)) for s in sets_of(batch, k)]
+                made = pd.DataFrame(rows, columns=["n", "node", "spare"])
                 made.insert(0, "i", batch["i"].to_numpy())
                 yield made
 
-        out = self.docs.mapInPandas(run, "i string, n bigint, node bigint, fine binary, coarse binary")
+        out = self.docs.mapInPandas(run, "i string, n bigint, node bigint, spare bigint")
         return out.withColumn("doc_id", F.col("i").cast("bigint")).drop("i")
 
     def _directory(self) -> DataFrame:
         """(key, node) of every set, copies within a batch left out."""
-        k, percent = self.k, self.percent
+        k, percent, identify = self.k, self.percent, self.identify()
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             plans: dict[int, int] = {}
@@ -225,7 +243,7 @@ class Join:
                 keys, nodes = [], []
                 for s in sets_of(batch, k):
                     if len(s):
-                        node = fingerprint(s)
+                        node = identify(s)
                         if node not in seen:
                             seen.add(node)
                             found = directory_keys(s, percent, plans)
@@ -257,25 +275,43 @@ class Join:
         apart = F.floor((F.col("n") + partner) * (100 - p) / (100 + p))
         drop = F.floor((m - apart - 1) / 2)  # as left_out()
         fullest = Window.partitionBy("node", "band").orderBy(F.desc("held"), "key")
-        return (
+        left = (
             shared.join(sizes, "node")
             .withColumn("r", F.dense_rank().over(fullest))
             .where(F.col("r") > drop)
             .select("key", "node")
             .distinct()
         )
+        # What was left out may have left a set alone in its bucket.
+        several = left.select("key", "node", F.min("node").over(by_key).alias("lo"), F.max("node").over(by_key).alias("hi"))
+        return several.where(F.col("lo") != F.col("hi")).select("key", "node")
+
+    def members(self, buckets: DataFrame) -> DataFrame:
+        """(node, n, fine, coarse, s) of the sets that share a bucket, each read off one document."""
+        k, identify = self.k, self.identify()
+        wanted = buckets.select("node").distinct()
+        rep = self.nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
+        named = self.docs.join(rep.select(F.col("rep").cast("string").alias("i")), "i", "left_semi")
+        texts = named.unionByName(self.docs.where("i IS NULL"))
 
-    def led(self, buckets: DataFrame) -> DataFrame:
-        """(key, node, leader): one leader a bucket, from four orders of the sets."""
-        turn = F.when(F.col("key").bitwiseAND(256) != 0, F.lit(0x5555555555555555)).otherwise(F.lit(0)).bitwiseXOR(
-            F.when(F.col("key").bitwiseAND(512) != 0, F.lit(0x3333333333333333)).otherwise(F.lit(0))
-        )
-        by_key = Window.partitionBy("key")
-        turned = F.col("node").bitwiseXOR(turn)
-        return buckets.select(
-            "key", "node", F.min(turned).over(by_key).bitwiseXOR(turn).alias("leader"),
-            F.min("node").over(by_key).alias("lo"), F.max("node").over(by_key).alias("hi"),
-        ).where(F.col("lo") != F.col("hi")).select("key", "node", "leader")
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows, held = [], 0
+                for s in sets_of(batch, k):
+                    n = len(s)
+                    if n:
+                        fine = np.minimum(point(s, fine_groups(n)), 255).astype(np.uint8).tobytes()
+                        rows.append((identify(s), n, fine, coarse_point(s), s.tobytes()))
+                        held += 8 * n
+                    if held > BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=["node", "n", "fine", "coarse", "s"])
+                        rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=["node", "n", "fine", "coarse", "s"])
+
+        sets = texts.mapInPandas(run, "node bigint, n bigint, fine binary, coarse binary, s binary")
+        # Ids that several texts have may bring sets along that nobody asked for.
+        return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
     def verify(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
         """The pairs (a, b) within the threshold: bound on fine points, then the sets."""
@@ -292,56 +328,16 @@ class Join:
         return write_shared(self._links(left, points), "join-links")
 
     def _links(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
-        """Exact comparison; the sets are read off the texts again and meet at b."""
-        k, percent = self.k, self.percent
+        """Exact comparison; the sets meet at b, in parts where b has many partners."""
+        percent = self.percent
         crowd = pairs.groupBy("b").agg(F.count("*").alias("c")).select("b", F.expr("cast(ceil(c / 1024) as int)").alias("parts"))
-        dealt = pairs.join(crowd, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+        dealt = write_shared(
+            pairs.join(crowd, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")), "join-dealt"
+        )
         sent = dealt.select(F.col("a").alias("node"), F.col("b").alias("to"), "part", F.lit(1).alias("role")).unionByName(
             dealt.select(F.col("b").alias("node"), F.col("b").alias("to"), "part", F.lit(0).alias("role")).distinct()
         )
-        sent = sent.join(points.select("node", "rep"), "node")
-        columns = "node bigint, to bigint, part int, role int, s binary"
-        amount = sent.count()
-        if not amount:
-            return pairs.select("a", "b")
-        if amount <= SENT:  # 40 bytes a row in the broadcast
-            held = sent.toPandas().sort_values(["node", "to", "part"], kind="stable")
-            where = self.spark.sparkContext.broadcast(
-                (held["node"].to_numpy(), held["to"].to_numpy(), held["part"].to_numpy(), held["role"].to_numpy(), held["rep"].to_numpy(dtype="float64", na_value=np.nan) if held["rep"].isna().any() else held["rep"].to_numpy())
-            )
-
-            def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                node, to, part, role, rep = where.value
-                names = ["node", "to", "part", "role", "s"]
-                for batch in batches:
-                    rows, held = [], 0
-                    for i, s in zip(batch["i"], sets_of(batch, k), strict=True):
-                        if not len(s):
-                            continue
-                        f = fingerprint(s)
-                        lo, hi = np.searchsorted(node, f, "left"), np.searchsorted(node, f, "right")
-                        # Of copies only the representative sends.
-                        if lo < hi and (i is None or not rep[lo] == rep[lo] or int(i) == rep[lo]):
-                            raw = s.tobytes()
-                            for x in range(lo, hi):
-                                rows.append((f, to[x], part[x], role[x], raw))
-                                held += len(raw)
-                                if held > SENT_BYTES:  # a set goes to several places
-                                    yield pd.DataFrame(rows, columns=names)
-                                    rows, held = [], 0
-                    if rows:
-                        yield pd.DataFrame(rows, columns=names)
-
-            sets = self.docs.mapInPandas(send, columns)
-        else:
-
-            def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for batch in batches:
-                    found = {fingerprint(s): s.tobytes() for s in sets_of(batch, k) if len(s)}
-                    yield pd.DataFrame({"node": list(found), "s": list(found.values())})
-
-            made = self.docs.mapInPandas(make, "node bigint, s binary")
-            sets = made.join(sent.select("node", "to", "part", "role"), "node").select("node", "to", "part", "role", "s")
+        sets = sent.join(points.select("node", "s"), "node")
 
         def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             head, own = None, None
@@ -360,8 +356,27 @@ class Join:
         met = sets.repartition("to", "part").sortWithinPartitions("to", "part", "role", "node")
         return met.mapInPandas(compare, "a bigint, b bigint").distinct()
 
-    def between(self, held: DataFrame, points: DataFrame) -> DataFrame:
-        """Pairs of sets of different components (key, node, comp) that the leaves leave."""
+    def led(self, buckets: DataFrame) -> DataFrame:
+        """(key, node, leader): one leader a bucket, the same for all buckets it is in."""
+        return buckets.withColumn("leader", F.min("node").over(Window.partitionBy("key")))
+
+    def apart(self, held: DataFrame, roots: DataFrame) -> DataFrame:
+        """(key, node, comp) of the buckets whose members belong to several components."""
+        by_key = Window.partitionBy("key")
+        comp = F.coalesce("root", "node")
+        return (
+            held.select("key", "node").join(roots, "node", "left")
+            .select("key", "node", comp.alias("comp"))
+            .select("key", "node", "comp", F.min("comp").over(by_key).alias("lo"), F.max("comp").over(by_key).alias("hi"))
+            .where(F.col("lo") != F.col("hi"))
+            .select("key", "node", "comp")
+        )
+
+    def between(self, held: DataFrame, points: DataFrame, best: bool) -> DataFrame:
+        """Pairs of sets of different components (key, node, comp) that the leaves leave.
+
+        With ``best`` a set is paired with the likeliest partner of a leaf alone.
+        """
         percent = self.percent
         order = Window.partitionBy("key").orderBy("comp", "n", "node")
         # A set's smallest keys: a pair is reported in its first common bucket only.
@@ -405,7 +420,10 @@ class Join:
                     for r in np.flatnonzero(np.minimum(x, top).sum(1) >= needed(ps, int(qs.min()), percent)).tolist():
                         ok = pc[r] != qc
                         if ok.any():
-                            ok &= np.minimum(x[r], y).sum(1) >= needed(ps[r], qs, percent)
+                            spare = np.minimum(x[r], y).sum(1) - needed(ps[r], qs, percent)
+                            ok &= spare >= 0
+                            if best and ok.any():
+                                ok = np.arange(len(ok)) == np.argmax(np.where(ok, spare, -1))
                             pairs.append(np.stack([np.full(int(ok.sum()), r), np.flatnonzero(ok)]))
                     if pairs:
                         r, c = np.concatenate(pairs, 1)
@@ -418,32 +436,27 @@ class Join:
         return joined.mapInPandas(search, "a bigint, b bigint").distinct()
 
     def labels(self) -> DataFrame:
-        """(node, root) of the sets that link with another."""
+        """(node, root) of the sets that link with another.
+
+        A bucket's members meet its leader; then, where they still belong to several
+        components, each its likeliest partners; then all that is still apart is paired.
+        """
         led = write_shared(self.led(self.buckets()), "join-buckets")
-        members = led.select("node").distinct()
-        points = write_shared(
-            self.nodes.join(members, "node", "left_semi")
-            .groupBy("node")
-            .agg(F.first("n").alias("n"), F.first("fine").alias("fine"), F.first("coarse").alias("coarse"), F.min("doc_id").alias("rep")),
-            "join-members",
-        )
+        points = write_shared(self.members(led), "join-members")
         first = led.where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         links = self.verify(first.distinct(), points)
         roots = components(links)
-        by_key = Window.partitionBy("key")
-        comp = F.coalesce("root", "node")
-        # Every member has met its leader; what is left are the pairs of the others.
-        split = (
-            led.where("node != leader").join(roots, "node", "left")
-            .select("key", "node", comp.alias("comp"))
-            .select("key", "node", "comp", F.min("comp").over(by_key).alias("lo"), F.max("comp").over(by_key).alias("hi"))
-            .where(F.col("lo") != F.col("hi"))
-            .select("key", "node", "comp")
-        )
-        more = self.verify(self.between(split, points), points)
-        if more.isEmpty():
-            return roots
-        return components(links.unionByName(more))
+        # A leader has met every member of its bucket.
+        held = led.where("node != leader")
+        for best in (True, False):
+            held = write_shared(self.apart(held, roots), "join-held")
+            if held.isEmpty():
+                break
+            more = self.verify(self.between(held, points, best), points)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                roots = components(links)
+        return roots
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every document."""
@@ -464,24 +477,21 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id")
     return Join(docs, k, percent, id_col).result()
 
 
-def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, bound: int = 1_000_000) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component (the smallest id), all columns kept.
 
-    Rows with a null id cannot be named and stay; of rows with one id and one set
-    the first met stays.
+    Rows with a null id cannot be named and stay; of rows with one id and one text
+    one stays.  Columns of any name are handed through.
     """
-    spark = docs.sparkSession
     found = write_shared(join(docs, k, percent), "join-result")
-    gone = found.where("doc_id IS NOT NULL AND component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    amount = gone.count()
-    # A list of ids with a checked bound travels; a longer one is joined by shuffle.
-    gone = F.broadcast(gone) if amount <= bound else gone
-    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
+    own, whole = unused(docs, "id"), unused(docs, "row")
+    gone = found.where("doc_id IS NOT NULL AND component_id != doc_id").select(F.col("doc_id").alias(own)).distinct()
+    kept = docs.join(gone, docs["doc_id"] == F.col(own), "left_anti")
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own))
+    again = write_shared(again, "join-again")
     if again.isEmpty():
         return kept
-    again = write_shared(again, "join-again")
-    few = again.count() <= bound
-    once = kept.join(F.broadcast(again) if few else again, kept["doc_id"] == F.col("__again"), "left_anti")
-    twice = kept.join(F.broadcast(again) if few else again, kept["doc_id"] == F.col("__again"), "left_semi")
-    return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
+    once = kept.join(again, kept["doc_id"] == F.col(own), "left_anti")
+    twice = kept.join(again, kept["doc_id"] == F.col(own), "left_semi").select(F.struct("*").alias(whole))
+    one = twice.groupBy(f"{whole}.doc_id", f"{whole}.text").agg(F.first(whole).alias(whole)).select(f"{whole}.*")
+    return once.unionByName(one)

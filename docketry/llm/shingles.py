@@ -124,3 +124,9 @@ def fingerprint(s: np.ndarray) -> int:
     """Signed 64-bit hash of a set."""
     total = int(s.sum(dtype=np.uint64)) + int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) * 3 + len(s)
     return int(mix(np.array([total & (1 << 64) - 1], dtype=np.uint64)).view(np.int64)[0])
+
+
+def second_print(s: np.ndarray) -> int:
+    """A signed 64-bit hash of a set that does not depend on :func:`fingerprint`."""
+    total = int(mix(s ^ np.uint64(0xA24BAED4963EE407)).sum(dtype=np.uint64)) + 7 * len(s)
+    return int(mix(np.array([(total ^ 0x9FB21C651E98DF25) & (1 << 64) - 1], dtype=np.uint64)).view(np.int64)[0])

@@ -59,15 +59,47 @@ def test_components_are_those_of_all_pairs(spark, seed, k, percent):
     assert out == brute(rows, k, percent)
 
 
-def test_long_and_short_path_agree(spark, monkeypatch):
+def test_small_leaves_and_hot_partners(spark, monkeypatch):
     rows = corpus(7, 25, 6)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(ngram_join, "SENT", 0)  # the sets meet by shuffle
     monkeypatch.setattr(ngram_join, "LEAF", 4)
     out = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(docs, 4, 85).collect()), key=str)
     assert out == brute(rows, 4, 85)
 
 
+def test_differing_sets_with_one_id(spark, monkeypatch):
+    rows = corpus(11, 10, 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    first = ngram_join.fingerprint
+    monkeypatch.setattr(ngram_join, "fingerprint", lambda s: first(s) & 3)  # four ids for all sets
+    found = ngram_join.Join(docs, 4, 85)
+    distinct = {tuple(sorted(sets(t, 4))) for _, t in rows} - {()}
+    if found.nodes.select("node").distinct().count() <= 5:
+        pytest.skip("workers have their own module")
+    assert found.nodes.where("n > 0").select("node").distinct().count() == len(distinct)
+
+
+def test_large_groups_of_near_copies(spark):
+    rng = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(500)]
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    rows = [(i, " ".join(base)) for i in range(10_000)]
+    for i in range(1000):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(50)}"
+        rows.append((10_000 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = ngram_join.Join(docs, 4, 85)
+    made = []
+    verify = joined.verify
+    joined.verify = lambda pairs, points: (made.append(pairs.count()), verify(pairs, points))[1]
+    out = {r.doc_id: r.component_id for r in joined.result().collect()}
+    want = {d: c for d, _, c in brute([rows[0], *rows[10_000:]], 4, 85)}
+    assert all(out[d] == want[d] for d in want) and all(out[d] == 0 for d in range(10_000))
+    assert sum(made) < 20 * 1000
+
+
 def test_keep_one(spark):
     t = " ".join(f"w{i}" for i in range(40))
     rows = [(3, t, 1), (1, t + " tail", 2), (2, "other text of its own kind here", 3), (4, None, 4), (None, "stays", 5), (2, "other text of its own kind here", 6)]
@@ -77,6 +109,14 @@ def test_keep_one(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 4, None]
 
 
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c d e f", 1, 2), (2, "a b c d e f", 3, 4), (3, "x y z", 5, 6), (3, "x y z", 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, __row int")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_empty_table(spark):
     assert ngram_join.join(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
