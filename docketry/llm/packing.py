@@ -11,10 +11,11 @@ run of remainders), so there is no shuffle, no driver state, and a lost
 executor only repeats its own partitions.  Sequence ids are
 ``partition << 33 | running number``: unique, and the same on every retry.
 
-Capacity: when a window of the differencing exceeds the capacity, either the
-excess is cut off and moved to windows with room (``cut=True``; ids are never
-lost or repeated), and a window is added once no room is left, or
-(``cut=False``) the number of windows rises and the differencing is repeated.
+Capacity: the differencing starts with the least number of windows that could hold
+a shard; whenever a window exceeds the capacity, the number rises and the differencing
+is repeated.  Remainders that fit badly (all of two thirds of a window, say) would
+raise it without end in sight, so where it passes ``slack`` over the least number the
+longest remainders are cut in two and it starts again.
 
 Ids are those of the vocabulary's JSON form without further settings, so the
 marker of an added token (``ADDED``) in a text is that token's one id.
@@ -29,6 +30,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -84,48 +86,37 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
     return [x for _, x in loads] + [[] for _ in range(windows - len(loads))]
 
 
-def pack_shard(sizes: list[int], capacity: int, cut: bool = True) -> list[list[tuple[int, int, int]]]:
-    """Windows of ``(item, from, length)``; every item of at most ``capacity``.
+def windows_of(sizes: list[int], capacity: int, most: int) -> list[list[int]] | None:
+    """The differencing with the first number of windows, of ``most`` at most, that holds every load."""
+    total = sum(sizes)
+    windows = -(-total // capacity)
+    while windows <= most:
+        dealt = difference(sizes, windows)
+        top = max(sum(sizes[i] for i in w) for w in dealt)
+        if top <= capacity:
+            return dealt
+        # The loads are as far apart at the next number; their mean must make room for that.
+        room = capacity - (top - total / windows)
+        windows = max(windows + 1, math.ceil(total / room) if room > 0 else 0)
+    return None
 
-    With ``cut`` an over-full window gives its excess to windows with room.
-    """
+
+def pack_shard(sizes: list[int], capacity: int, slack: float = 0.05) -> list[list[tuple[int, int, int]]]:
+    """Windows of ``(item, from, length)``; every item of at most ``capacity``."""
     total = sum(sizes)
     if not total:
         return []
-    windows = max(1, -(-total // capacity))
-    while True:
-        dealt = difference(sizes, windows)
-        loads = [sum(sizes[i] for i in w) for w in dealt]
-        if cut or max(loads) <= capacity:
-            break
-        windows += max(1, (max(loads) - capacity) * windows // (4 * capacity))
-    out = [[(i, 0, sizes[i]) for i in sorted(w, key=lambda i: (-sizes[i], i))] for w in dealt if w]
-    loads = [sum(n for _, _, n in w) for w in out]
-    spare: list[tuple[int, int, int]] = []
-    for w, load in zip(out, loads, strict=True):
-        over = load - capacity
-        while over > 0:
-            i, at, n = w.pop()
-            take = min(n, over)
-            if n > take:
-                w.append((i, at, n - take))
-            spare.append((i, at + n - take, take))
-            over -= take
-    if spare:
-        room = [(capacity - sum(n for _, _, n in w), k) for k, w in enumerate(out)]
-        room = sorted((r for r in room if r[0] > 0), key=lambda r: (-r[0], r[1]))
-        for i, at, n in sorted(spare, key=lambda s: -s[2]):
-            while n:
-                if not room:
-                    out.append([])
-                    room.append((capacity, len(out) - 1))
-                free, k = room.pop(0)
-                take = min(n, free)
-                out[k].append((i, at, take))
-                at, n, free = at + take, n - take, free - take
-                if free:
-                    room.insert(0, (free, k))
-    return out
+    least = -(-total // capacity)
+    most = max(least + 1, int(least * (1 + slack)))
+    pieces = [(i, 0, n) for i, n in enumerate(sizes) if n]
+    while (dealt := windows_of([n for _, _, n in pieces], capacity, most)) is None:
+        half = (max(n for _, _, n in pieces) + 1) // 2
+        pieces = [
+            p
+            for i, at, n in pieces
+            for p in ([(i, at, (n + 1) // 2), (i, at + (n + 1) // 2, n // 2)] if n > half else [(i, at, n)])
+        ]
+    return [sorted((pieces[k] for k in w), key=lambda p: (-p[2], p)) for w in dealt if w]
 
 
 #: The vocabulary's added tokens; its rank file does not hold them.
@@ -161,8 +152,8 @@ def pack(
     vocabulary: str,
     capacity: int = 2048,
     end_id: int = 1,
-    shard_pieces: int = 2048,
-    cut: bool = True,
+    shard_pieces: int = 1024,
+    slack: float = 0.05,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -189,7 +180,7 @@ def pack(
         def flush() -> list[tuple]:
             nonlocal used
             made = []
-            for window in pack_shard([len(ids) for _, _, ids, _ in rest], capacity, cut):
+            for window in pack_shard([len(ids) for _, _, ids, _ in rest], capacity, slack):
                 offset = 0
                 for item, at, n in window:
                     doc, start, ids, total = rest[item]
