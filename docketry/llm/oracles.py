@@ -62,24 +62,27 @@ def pii_sql() -> str:
     columns = []
     for kind in pii.KINDS:
         keep = valid[kind]
+        prior, up, down = pii.CONTEXT[kind]
+        score = (
+            f"{prior} + CASE WHEN regexp_matches({around(pii.WINDOW)}, {quoted(up)}) THEN {pii.RAISE} ELSE 0 END"
+            f" - CASE WHEN regexp_matches({around(pii.WINDOW)}, {quoted(down)}) THEN {pii.LOWER} ELSE 0 END"
+        )
+        score = f"CAST(round(least(greatest({score}, 0.0), 1.0), 2) AS DECIMAL(3, 2))"
         if kind not in pii.BASE:
-            prior, up, down = pii.CONTEXT[kind]
-            score = (
-                f"{prior} + CASE WHEN regexp_matches({around(pii.WINDOW)}, {quoted(up)}) THEN {pii.RAISE} ELSE 0 END"
-                f" - CASE WHEN regexp_matches({around(pii.WINDOW)}, {quoted(down)}) THEN {pii.LOWER} ELSE 0 END"
-            )
-            keep += f" AND round({score}, 2) >= {pii.KEEP}"
+            keep += f" AND {score} >= {pii.KEEP}"
         pattern = PLAIN.get(kind, pii.PATTERNS[kind])
         columns.append(
-            f"list_transform(list_filter(coalesce({spans(pattern)}, []), lambda x: {keep}), lambda x: '{kind}:' || x.s || ':' || x.e) AS c_{kind}"
+            f"list_transform(list_filter(coalesce({spans(pattern)}, []), lambda x: {keep}), "
+            f"lambda x: {{'v': '{kind}:' || x.s || ':' || x.e, 'c': CAST({score} AS VARCHAR)}}) AS c_{kind}"
         )
     base = " || ".join(f"c_{k}" for k in pii.BASE)
     every = " || ".join(f"c_{k}" for k in pii.KINDS)
     counts = ", ".join(f"CAST(len(c_{k}) AS BIGINT) AS n_{k}" for k in pii.BASE)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         f AS (SELECT doc_id, {", ".join(columns)} FROM d)
-        SELECT doc_id, {counts}, sha256(array_to_string({base}, ',')) AS base_sha256,
-            array_to_string({every}, ',') AS spans FROM f"""
+        SELECT doc_id, {counts}, sha256(array_to_string(list_transform({base}, lambda x: x.v), ',')) AS base_sha256,
+            array_to_string(list_transform({every}, lambda x: x.v), ',') AS spans,
+            array_to_string(list_transform({every}, lambda x: x.c), ',') AS scores FROM f"""
 
 
 def secrets_sql() -> str:

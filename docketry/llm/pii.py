@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.spans import digits, listed, located, near
+from docketry.llm.spans import blocks, cut, digits, folded, located, near
 
 # Patterns of the kinds, possessive and anchored at run starts.
 PATTERNS: dict[str, str] = {
@@ -44,6 +44,7 @@ CONTEXT: dict[str, tuple[float, str, str]] = {
     "iban": (0.8, r"\b(?:iban|bank|account|konto|compte|cuenta|bic|swift)\b", r"\b(?:test|sample|serial)\b"),
     "ssn": (0.4, r"\b(?:ssn|social|security|insurance|taxpayer)\b", r"\b(?:order|part|serial|case|ticket)\b"),
 }
+FINDINGS = "array<struct<kind:string,s:int,e:int,score:double>>"
 WINDOW = 40
 RAISE = 0.3
 LOWER = 0.35
@@ -92,12 +93,12 @@ def proposals(kind: str, text: Column) -> Column:
     return F.filter(spans, lambda x: valid(kind, x))
 
 
-def scored(kind: str, text: Column, spans: Column) -> Column:
-    """array<struct<kind,s,e,score>>."""
+def scored(kind: str, parts: Column, spans: Column) -> Column:
+    """array<struct<kind,s,e,score>> of spans of the text whose blocks are ``parts``."""
     prior, up, down = CONTEXT[kind]
 
     def one(x: Column) -> Column:
-        around = near(text, x, WINDOW)
+        around = near(parts, x, WINDOW)
         value = F.lit(prior) + F.when(around.rlike(up), RAISE).otherwise(0.0) - F.when(around.rlike(down), LOWER).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"),
@@ -107,17 +108,30 @@ def scored(kind: str, text: Column, spans: Column) -> Column:
     return F.transform(spans, one)
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, and findings: array<struct<kind,s,e,score>> by kind, then start."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def found_in(rows: DataFrame, text_col: str) -> DataFrame:
+    """``rows`` (a struct ``row`` and a text without nulls) with ``parts`` and ``findings``, by kind, then start."""
+    none = F.array().cast(FINDINGS)
+    text = F.col(text_col)
+    rows = rows.select("row", text_col, *[proposals(kind, text).alias(f"c_{kind}") for kind in KINDS])
+    some = F.lit(False)
     for kind in KINDS:
-        base = base.withColumn(f"c_{kind}", proposals(kind, F.col("text")))
+        some = some | (F.size(f"c_{kind}") > 0)
+    rows = rows.withColumn("parts", F.when(some, blocks(text)).otherwise(F.array().cast("array<string>")))
+    kept = []
     for kind in KINDS:
-        found = scored(kind, F.col("text"), F.col(f"c_{kind}"))
+        found = scored(kind, F.col("parts"), F.col(f"c_{kind}"))
         if kind not in BASE:
             found = F.filter(found, lambda x: x["score"] >= KEEP)
-        base = base.withColumn(f"c_{kind}", F.when(F.size(f"c_{kind}") > 0, found).otherwise(F.array().cast("array<struct<kind:string,s:int,e:int,score:double>>")))
-    return base.select("doc_id", "text", F.concat(*[F.col(f"c_{k}") for k in KINDS]).alias("findings"))
+        kept.append(F.when(F.size(f"c_{kind}") > 0, found).otherwise(none))
+    return rows.select("row", text_col, "parts", F.concat(*kept).alias("findings"))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text, and findings: array<struct<kind,s,e,score>> by kind, then start."""
+    rows = docs.select(
+        F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    return found_in(rows, "text").select("row.doc_id", "text", "findings")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -134,43 +148,30 @@ def digest(found: DataFrame) -> DataFrame:
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("findings")).alias("spans"),
+        F.array_join(F.transform("findings", lambda y: y["score"].cast("decimal(3,2)").cast("string")), ",").alias("scores"),
     )
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Every kept span replaced by its kind in brackets; all columns kept.
+    """Every kept span replaced by its kind in brackets; all columns kept, of any name.
 
     Overlapping spans become one mask, named after the kind that starts first
-    (ties: the order of ``KINDS``).
+    (ties: the order of ``KINDS``).  A text without findings stays as it is, null too.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    parts = []
-    for kind in KINDS:
-        found = scored(kind, text, proposals(kind, text))
-        parts.append(found if kind in BASE else F.filter(found, lambda x: x["score"] >= KEEP))
-    order = {k: i for i, k in enumerate(KINDS)}
-    rank = F.create_map(*[F.lit(x) for k, i in order.items() for x in (k, i)])
+    rows = found_in(docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("clear")), "clear")
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
     spans = F.array_sort(
-        F.transform(F.concat(*parts), lambda x: F.struct(x["s"].alias("s"), F.element_at(rank, x["kind"]).alias("r"), x["kind"].alias("k"), x["e"].alias("e")))
-    )
-    out = F.aggregate(
-        F.col("__spans"),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"),
-            F.when(x["s"] < acc["at"], acc["out"])
-            .otherwise(
-                F.concat(
-                    acc["out"],
-                    F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.concat(F.lit("["), F.upper(x["k"]), F.lit("]"))),
-                )
-            )
-            .alias("out"),
-        ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
+        F.transform("findings", lambda x: F.struct(x["s"].alias("s"), F.element_at(rank, x["kind"]).alias("r"), x["kind"].alias("k"), x["e"].alias("e")))
     )
-    return (
-        docs.withColumn("__spans", spans)
-        .withColumn(text_col, F.when(F.size("__spans") > 0, out).otherwise(F.col(text_col)))
-        .drop("__spans")
+    parts = F.col("parts")
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        piece = F.concat(cut(parts, at, x["s"]), F.lit("["), F.upper(x["k"]), F.lit("]"))
+        return F.greatest(at, x["e"]), F.when(x["s"] >= at, F.array(piece)).otherwise(F.array().cast("array<string>"))
+
+    masked = folded(
+        spans, F.lit(0), step, "array<string>", lambda at, out: F.concat(F.array_join(out, ""), cut(parts, at, F.length("clear")))
     )
+    held = F.col("row")[text_col]
+    shown = F.when(F.size("findings") > 0, masked).otherwise(held)
+    return rows.select(*[shown.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -16,8 +16,10 @@ Defined cases: records with a null URL or time resolve nothing and are never a
 source; of responses at one time the largest id counts; a revisit without a
 validator in common, or with a differing one, is reported as ``no_validator`` or
 ``mismatch`` with its candidate; one without an earlier response as ``no_response``;
-repeated rows are resolved each; null header maps are empty; an empty table
-gives an empty result; other columns are ignored.
+repeated rows are resolved each; null header maps are empty; of header names that
+differ in case alone the first in code point order counts; URLs and values of any length
+are compared whole; a null ``revisit`` mark is no revisit and no source; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docketry.llm.spans import bound
+
 # Headers of a not-modified answer that never replace stored ones.
 KEPT_FROM_RESPONSE: tuple[str, ...] = (
     "connection", "content-encoding", "content-length", "content-location", "content-md5", "content-range",
@@ -48,20 +52,34 @@ def canonical(url: Column) -> Column:
     return F.concat(site, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
+def lowered(headers: Column) -> Column:
+    """Headers by lower-case name; of names that differ in case alone the first in code point order counts."""
+    pairs = F.transform(
+        F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
+        lambda e: F.struct(F.lower(e["key"]).alias("name"), e["key"].alias("own"), e["value"].alias("value")),
+    )
+    return bound(
+        F.array_sort(pairs),
+        lambda all_: F.map_from_entries(
+            F.transform(
+                F.filter(all_, lambda e, i: (i == 0) | (e["name"] != F.get(all_, i - 1)["name"])),
+                lambda e: F.struct(e["name"].alias("key"), e["value"].alias("value")),
+            )
+        ),
+    )
+
+
 def merged(stored: Column, fresh: Column) -> Column:
     """Stored headers updated by the permitted ones of a not-modified answer."""
-    none = F.create_map().cast("map<string,string>")
-    lower = lambda m: F.transform_keys(F.coalesce(m, none), lambda k, v: F.lower(k))
-    update = F.map_filter(lower(fresh), lambda k, v: ~k.isin(*KEPT_FROM_RESPONSE))
-    return F.map_concat(F.map_filter(lower(stored), lambda k, v: ~F.map_contains_key(update, k)), update)
+    update = F.map_filter(lowered(fresh), lambda k, v: ~k.isin(*KEPT_FROM_RESPONSE))
+    return bound(update, lambda u: F.map_concat(F.map_filter(lowered(stored), lambda k, v: ~F.map_contains_key(u, k)), u))
 
 
 def resolve(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
     """One row per revisit record, with its response and merged headers.
 
     ``records``: id, url, ts (timestamp), revisit (boolean), etag, last_modified,
-    digest, headers (map of strings).  Header names must differ within a record
-    also when lower-cased.
+    digest, headers (map of strings).
     """
     rows = records.select(
         "id", canonical(F.col("url")).alias("site"), "ts", "revisit", "etag", "last_modified", "digest", "headers",
@@ -72,6 +90,9 @@ def resolve(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
         F.struct("ts", "id", "etag", "last_modified", "digest", "headers"),
     )
     rows = rows.withColumn("full", full)
+    # Without a URL or a time nothing is looked up: such rows stay out of the windows.
+    placed = F.col("site").isNotNull() & F.col("ts").isNotNull()
+    lone, rows = rows.where(~placed & F.col("revisit")), rows.where(placed)
     inside = (
         Window.partitionBy("site", "bucket")
         .orderBy("ts", F.col("revisit").desc(), "id")
@@ -82,11 +103,12 @@ def resolve(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
         F.max_by("full", F.struct("ts", "id")).alias("full")
     )
     # Carried into a bucket: the latest response of the nearest earlier bucket with one.
-    asked = rows.where("revisit AND site IS NOT NULL AND ts IS NOT NULL").select("site", "bucket").distinct()
+    asked = rows.where("revisit").select("site", "bucket").distinct()
     marks = latest.join(asked, ["site", "bucket"], "full_outer")
     before = Window.partitionBy("site").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = marks.select("site", "bucket", F.last("full", ignorenulls=True).over(before).alias("carried"))
-    both = local.join(carried, ["site", "bucket"], "left").withColumn("r", F.coalesce("found", "carried"))
+    both = local.join(carried, ["site", "bucket"], "left").withColumn("r", F.coalesce("found", "carried")).drop("found", "carried")
+    both = both.unionByName(lone.withColumn("r", F.lit(None).cast(both.schema["r"].dataType)))
 
     def tag(c: str) -> Column:
         return F.regexp_replace(F.col(c), "^W/", "")

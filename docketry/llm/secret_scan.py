@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.spans import located
+from docketry.llm.spans import SPAN, bound, folded, located
 
 # Patterns of the kinds.  Runs are maximal, so asking for the least
 # length at once gives the same spans as dropping short runs afterwards.
@@ -59,7 +59,10 @@ ALLOW: tuple[str, ...] = (
 
 def peak_entropy(candidate: Column, width: int = WINDOW) -> Column:
     """Highest entropy, in bits, of a window of ``width`` characters."""
-    chars = F.filter(F.split(candidate, ""), lambda c: c != "")
+    return bound(F.filter(F.split(candidate, ""), lambda c: c != ""), lambda chars: _peak(chars, width))
+
+
+def _peak(chars: Column, width: int) -> Column:
     n = F.size(chars)
     w = F.least(n, F.lit(width))
     zero = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda _: F.lit(0))
@@ -93,6 +96,33 @@ def peak_entropy(candidate: Column, width: int = WINDOW) -> Column:
     )
 
 
+def uncovered(candidates: Column, covers: Column) -> Column:
+    """The candidate spans that overlap no cover; both lists of spans, candidates in order and apart.
+
+    Two sweeps over both by start: forwards with the furthest end of a cover so far,
+    backwards with its least start.
+    """
+    kind = "array<struct<s:int,t:int,e:int,m:string>>"
+
+    def event(t: int):
+        return lambda x: F.struct(x["s"].alias("s"), F.lit(t).alias("t"), x["e"].alias("e"), x["m"].alias("m"))
+
+    events = F.array_sort(F.concat(F.transform(covers, event(0)), F.transform(candidates, event(1))))
+
+    def forwards(end: Column, x: Column) -> tuple[Column, Column]:
+        cover = x["t"] == 0
+        keep = cover | (end <= x["s"])
+        return F.when(cover, F.greatest(end, x["e"])).otherwise(end), F.when(keep, F.array(x)).otherwise(F.array().cast(kind))
+
+    def backwards(start: Column, x: Column) -> tuple[Column, Column]:
+        cover = x["t"] == 0
+        span = F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
+        return F.when(cover, x["s"]).otherwise(start), F.when(~cover & (start >= x["e"]), span).otherwise(F.array().cast(SPAN))
+
+    free = F.reverse(folded(F.reverse(folded(events, F.lit(0), forwards, kind)), F.lit(2**31 - 1), backwards, SPAN))
+    return F.when((F.size(candidates) == 0) | (F.size(covers) == 0), candidates).otherwise(free)
+
+
 def allowed(candidate: Column) -> Column:
     """Whether the allow-list suppresses a candidate."""
     out = F.lit(False)
@@ -123,11 +153,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         located(text, PATTERNS["hex"]).alias("c_hex"),
         F.filter(located(text, PATTERNS["entropy"]), lambda x: ~allowed(x["m"])).alias("c_entropy"),
     )
-    covers = F.concat("c_assign", "c_access", "c_hex")
-    free = F.filter(
-        "c_entropy", lambda x: ~F.exists(covers, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-    )
-    base = base.withColumn("c_entropy", free)
+    base = base.withColumn("c_entropy", uncovered(F.col("c_entropy"), F.concat("c_assign", "c_access", "c_hex")))
 
     def as_found(kind: str) -> Column:
         rank = KINDS.index(kind)

@@ -58,6 +58,22 @@ def test_against_brute_force_with_a_hot_url(spark):
     assert out == want
 
 
+def test_repeated_header_names_and_long_values(spark):
+    rows = [
+        row(1, "http://a.example/" + "x" * 50_000, 0, False, '"e"', headers={"ETag": "b", "etag": "c", "ETAG": "a", "Via": "v" * 50_000, "N": None}),
+        row(2, "http://a.example/" + "x" * 50_000, 5, True, '"e"', headers={"VIA": "new", "via": "old"}),
+        row(3, None, 5, True), row(4, None, None, True), row(5, None, 5, False), (6, "u", at(1), None, None, None, None, None, "x"),
+        row(2, "http://a.example/" + "x" * 50_000, 5, True, '"e"', headers={"VIA": "new", "via": "old"}),
+    ]
+    out = revisits.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.revisit_id for r in out) == [2, 2, 3, 4]
+    for r in out:
+        if r.revisit_id == 2:
+            assert r.headers == {"etag": "a", "via": "new", "n": None}
+        else:
+            assert (r.verdict, r.response_id, r.headers) == ("no_response", None, None)
+
+
 def test_empty_table(spark):
     assert revisits.resolve(spark.createDataFrame([], SCHEMA)).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")

@@ -98,6 +98,76 @@ def test_redaction(spark):
     assert out[1].text == "mail [EMAIL] or [PHONE]!" and out[2].text == "clean" and out[3].text is None
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.com", 2, 3, 4)], "doc_id long, text string, row int, parts int, __spans int")
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "mail [EMAIL]", 2, 3, 4)]
+    assert pii.redact(spark.createDataFrame([], docs.schema)).count() == 0
+
+
+def test_many_findings_in_one_text(spark):
+    import time
+
+    n = 100_000
+    text = " ".join(f"ab{i}@mail.example" for i in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    r = pii.digest(pii.find(docs)).collect()[0]
+    assert r.n_email == n and r.base_sha256 == hashlib.sha256(",".join(pii_base(text)).encode()).hexdigest()
+    assert pii.redact(docs).collect()[0].text == " ".join(["[EMAIL]"] * n)
+    assert time.time() - began < 60
+
+
+def test_many_secrets_in_one_text(spark):
+    import time
+
+    n = 10_000
+    text = " ".join(f"token=abc{i}def aB3dE5fG7hI9jK1lM3nO{i}" for i in range(n))
+    began = time.time()
+    r = secret_scan.digest(secret_scan.find(spark.createDataFrame([(1, text), (2, "aB3+" * 20_000)], "doc_id long, text string"))).collect()[0]
+    assert r.n_assign == n and r.spans.count("entropy") == n
+    assert time.time() - began < 60
+
+
+def test_redaction_of_overlapping_findings_is_that_of_plain_python(spark):
+    import random
+
+    rng = random.Random(8)
+    parts = ["a@b.com", "+1 (017) 555-7713", "4111 1111 1111 1111", "1.2.3.4", "x", "😀 é", "\n", "lorem ipsum " * 120, "123-45-6789 social"]
+    docs = spark.createDataFrame([(i, "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(1, 25)))) for i in range(60)], "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.findings) for r in pii.find(docs).collect()}
+    for r in pii.redact(docs).collect():
+        text, spans = found[r.doc_id]
+        out, at = "", 0
+        for f in sorted(spans, key=lambda f: (f.s, pii.KINDS.index(f.kind))):
+            if f.s >= at:
+                out += text[at : f.s] + f"[{f.kind.upper()}]"
+            at = max(at, f.e)
+        assert r.text == out + text[at:]
+
+
+def test_uncovered_is_that_of_all_pairs(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    rows = []
+    for i in range(40):
+        free, at = [], 0
+        for _ in range(rng.randint(0, 20)):
+            s = at + rng.randint(0, 9)
+            at = s + rng.randint(1, 9)
+            free.append((s, at, "m"))
+        over = [(s, s + rng.randint(1, 12), "c") for s in (rng.randint(0, 150) for _ in range(rng.randint(0, 6)))]
+        rows.append((i, free, over))
+    kind = "array<struct<s:int,e:int,m:string>>"
+    out = spark.createDataFrame(rows, f"i int, a {kind}, b {kind}").select("i", secret_scan.uncovered(F.col("a"), F.col("b")).alias("f")).collect()
+    for r in out:
+        _, free, over = rows[r.i]
+        assert [tuple(x) for x in r.f] == [x for x in free if not any(y[0] < x[1] and x[0] < y[1] for y in over)]
+
+
 def entropy_peak(s, w):
     import math
     from collections import Counter
