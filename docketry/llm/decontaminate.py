@@ -12,18 +12,21 @@ is at least 1; items shorter than q are found exactly.
 Texts and items are compared in lower case with every white-space character
 read as a blank.  Positions are code points of the original text.
 
-Scale: one pass over whole texts, no shuffle.  The items travel in blocks of at
-most ``block_chars`` characters (with the hashes about 16 bytes a character),
-one pass over the texts a block; long texts are read in overlapping pieces.
+Scale: one pass over whole texts, no shuffle.  The items travel in blocks of about
+``block_chars`` characters and an item more (with the hashes about 16 bytes a character),
+one pass over the texts and one broadcast at a time a block; long texts are read in
+overlapping pieces, and shared q-grams are counted in lots, however repetitive a text is.
 
 Defined cases: null and empty texts hold nothing; null and blank items match
-nothing; items repeated are reported each; null ids are handed through; empty
+nothing; items repeated are reported each, rows repeated likewise; of overlapping regions of
+an item that tie in edits the first counts; null ids are handed through; empty
 tables give empty results; other columns are ignored, and
 :func:`drop_contaminated` hands them through.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,12 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.session import ship_package
+from docketry.session import ship_package, write_shared
 
 RESULT = "doc_id bigint, item_id bigint, start bigint, end bigint, edits int"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 PIECE = 1_000_000
+PAIRS = 4_000_000
 
 
 def folded(text: str) -> str:
@@ -155,38 +159,55 @@ class Benchmark:
         at, slot, many, piece = at[keep], slot[keep], many[keep], piece[keep]
         if not len(at):
             return
-        entry = np.repeat(self.first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        item = self.item_of[entry]
-        diagonal = np.repeat(at - starts[piece], many) - self.place_of[entry]
-        step = self.step[item]
-        low = diagonal // step
-        lift = 1 << 22
-        key = (np.repeat(piece, many) * len(self.items) + item) * (2 * lift) + low + lift
-        both, counts = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        lift = max(len(p) for _, _, p in lot) + self.longest + 2
+        both, counts = self._bands(at - starts[piece], slot, many, piece, lift)
         of = both // (2 * lift)
         good = counts >= self.least[of % len(self.items)]
-        best: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for k, c in zip(both[good].tolist(), counts[good].tolist(), strict=True):
+        for k in both[good].tolist():
             p, i = divmod(k // (2 * lift), len(self.items))
-            best.setdefault((p, i), []).append((k % (2 * lift) - lift, c))
-        for (p, i), bands in best.items():
             n, base, text = lot[p]
             it = self.items[i]
-            for band, _ in bands:
-                lo = band * (it.budget + 1)
-                hit = align(it, text, lo, lo + 2 * (it.budget + 1) - 1)
-                if hit:
-                    found[n].add((it.item_id, base + hit[0], base + hit[1], hit[2]))
+            lo = (k % (2 * lift) - lift) * (it.budget + 1)
+            hit = align(it, text, lo, lo + 2 * (it.budget + 1) - 1)
+            if hit:
+                found[n].add((it.item_id, base + hit[0], base + hit[1], hit[2]))
+
+    def _bands(self, at: np.ndarray, slot: np.ndarray, many: np.ndarray, piece: np.ndarray, lift: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (piece, item, band) and their counts of shared q-grams, from at most about ``PAIRS`` pairs at a time.
+
+        A repetitive text shares its few q-grams with every place of a repetitive item.
+        """
+        reach = np.cumsum(many)
+        keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        a = 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(reach, (reach[a - 1] if a else 0) + PAIRS, side="right")))
+            m = many[a:b]
+            entry = np.repeat(self.first[slot[a:b]] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            item = self.item_of[entry]
+            low = (np.repeat(at[a:b], m) - self.place_of[entry]) // self.step[item]
+            key = (np.repeat(piece[a:b], m) * len(self.items) + item) * (2 * lift) + low + lift
+            new, times = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+            if a:
+                new, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                times = np.bincount(where, np.concatenate([counts, times])).astype(np.int64)
+            keys, counts, a = new, times, b
+        return keys, counts
 
 
 def _apart(regions: set) -> list[tuple[int, int, int, int]]:
     """Of overlapping regions of one item the one with the fewest edits."""
-    kept: dict[int, list] = {}
+    out: list[tuple[int, int, int, int]] = []
+    places: dict[int, tuple[list[int], list[int]]] = {}
     for r in sorted(regions, key=lambda r: (r[0], r[3], r[1], r[2])):
-        own = kept.setdefault(r[0], [])
-        if not any(r[1] < k[2] and k[1] < r[2] for k in own):
-            own.append(r)
-    return [r for own in kept.values() for r in own]
+        starts, ends = places.setdefault(r[0], ([], []))  # of what is kept; apart, so both ascend
+        k = bisect.bisect_left(starts, r[2])
+        if k and ends[k - 1] > r[1]:
+            continue
+        starts.insert(k, r[1])
+        ends.insert(k, r[2])
+        out.append(r)
+    return out
 
 
 def align(item: Item, text: str, lo: int, hi: int) -> tuple[int, int, int] | None:
@@ -240,28 +261,32 @@ def _last_row(item: np.ndarray, text: np.ndarray, lo: int, hi: int, anchored: bo
     return row
 
 
-def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """The items in blocks, and whether a block is the last."""
     lot: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
-        lot.append((r["item_id"], r["text"]))
-        size += len(r["text"])
         if size >= block_chars:
-            yield lot
+            yield lot, False
             lot, size = [], 0
+        lot.append((r["item_id"], r["text"]))
+        size += len(r["text"])
     if lot:
-        yield lot
+        yield lot, True
 
 
 def find(
     docs: DataFrame, benchmark: DataFrame, q: int = 10, rate: float = 0.07, block_chars: int = 1_000_000, id_col: str = "doc_id"
 ) -> DataFrame:
-    """One row per region of a document that holds a benchmark item within its budget."""
+    """One row per region of a document that holds a benchmark item within its budget.
+
+    Of several blocks each has its pass written before the next is broadcast, so one is held at a time.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     parts = docs.select(F.col(id_col).cast("string").alias("i"), F.col("text").alias("t"))
     out = spark.createDataFrame([], RESULT)
-    for block in blocks(benchmark, block_chars):
+    for block, last in blocks(benchmark, block_chars):
         held = spark.sparkContext.broadcast(Benchmark(block, q, rate))
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -275,7 +300,11 @@ def find(
                     yield pd.DataFrame(rows, columns=["i", "item_id", "start", "end", "edits"]).astype({"item_id": "Int64"})
 
         got = parts.mapInPandas(run, "i string, item_id bigint, start bigint, end bigint, edits int")
-        out = out.unionByName(got.select(F.col("i").cast("bigint").alias("doc_id"), "item_id", "start", "end", "edits"))
+        got = got.select(F.col("i").cast("bigint").alias("doc_id"), "item_id", "start", "end", "edits")
+        if not last:
+            got = write_shared(got, "regions")
+            held.destroy()
+        out = out.unionByName(got)
     return out
 
 
@@ -290,11 +319,13 @@ def _clean(held):
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, q: int = 10, rate: float = 0.07, block_chars: int = 1_000_000
 ) -> DataFrame:
-    """The documents without any benchmark item, all columns kept."""
+    """The documents without any benchmark item, all columns kept; blocks as in :func:`find`."""
     spark = docs.sparkSession
     ship_package(spark)
-    for block in blocks(benchmark, block_chars):
+    for block, last in blocks(benchmark, block_chars):
         held = spark.sparkContext.broadcast(Benchmark(block, q, rate))
-
         docs = docs.where(_clean(held)(F.col("text")))
+        if not last:
+            docs = write_shared(docs, "uncontaminated")
+            held.destroy()
     return docs

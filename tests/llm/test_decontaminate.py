@@ -75,6 +75,62 @@ def test_long_texts_in_pieces(monkeypatch):
         assert bench.regions([text]) == [[(1, gap, gap + len(ITEMS[0][1]), 0)]]
 
 
+def shown(text, item, budget):
+    """Least edits of the item against a part of the text that ends at each place (plain dynamic programme)."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        prev, row[0] = row[0], i
+        for j, y in enumerate(text, 1):
+            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+    return [j for j, e in enumerate(row) if e <= budget]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_regions_are_those_of_an_exhaustive_search(seed):
+    rng = random.Random(seed)
+    bench = decontaminate.Benchmark([(1, ITEMS[0][1]), (2, ITEMS[1][1]), (3, "-" * 60)], 10, 0.07)
+    for _ in range(12):
+        text = ""
+        for _ in range(rng.randint(1, 5)):
+            t = list(rng.choice(bench.items).text)
+            for _ in range(rng.randint(0, 12)):
+                t[rng.randrange(len(t))] = rng.choice("xyz ")
+            text += filler(rng.randint(0, 2)) + "".join(t)
+        got = bench.regions([text])[0]
+        for item in bench.items:
+            ends = shown(text, item.text, item.budget)
+            own = [r for r in got if r[0] == item.item_id]
+            assert bool(ends) == bool(own)
+            for _, start, end, edits in own:
+                assert end in ends and distance(text[start:end], item.text) == edits <= item.budget
+            # Every place where the item may end lies in or beside a reported region.
+            assert all(any(r[1] - item.budget <= e <= r[2] + len(item.text) + item.budget for r in own) for e in ends)
+
+
+def test_repetitive_texts_are_counted_in_lots(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(decontaminate, "PAIRS", 200_000)
+    bench = decontaminate.Benchmark([(1, "-" * 120)], 10, 0.07)
+    small = decontaminate.Benchmark([(1, "-" * 120)], 10, 0.07).regions(["ab" + "-" * 500])[0]
+    assert small[0] == (1, 2, 122, 0) and len(small) == 4
+    tracemalloc.start()
+    found = bench.regions(["-" * 80_000])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 80_000 // 130 <= len(found) <= 80_000 // 120 and peak < 120_000_000
+
+
+def test_filter_on_odd_rows(spark):
+    one = ITEMS[0][1]
+    rows = [(1, one, 1), (1, one, 1), (None, "x", 2), (2, None, 3), (3, "-" * 30_000, 4), (4, "fine", 5), (4, "fine", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([*ITEMS, (9, "-" * 120)], "item_id long, text string")
+    for block in (10, 1_000_000):
+        kept = decontaminate.drop_contaminated(docs, bench, block_chars=block)
+        assert sorted(((r.doc_id, r.item_id) for r in kept.collect()), key=str) == sorted([(None, 2), (2, 3), (4, 5), (4, 5)], key=str)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
