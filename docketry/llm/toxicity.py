@@ -2,20 +2,22 @@
 
 A logistic regression over the presence of words.  The words are those whose
 document rates differ most between the two labels (a z-score, so noise words
-stay out) plus the identity terms.  For every labelled sentence that holds an
-identity term the sentence is swapped onto the other terms of its group and the
-squared change of the linear score is penalised, which drives the model to give
+stay out) plus the identity terms.  Labelled texts are cut into sentences; every
+sentence that holds an identity term is swapped onto the other terms of its group and the
+squared change of its linear score is penalised, which drives the model to give
 neutral group mentions no weight of their own.
 
 Training reads a bounded sample of labelled rows (``max_train``, in the order
 of a hash of the id, so it is the same at every run); scoring covers every
-whole text.  The model is a few hundred weights, which travel in the closure.
+whole text, of any length.  Both read words with :func:`distinct_words`.  The model is a
+few hundred weights, which travel in the closure.
 
 Defined cases: null and empty texts get the score of a text without any known
 word; null labels and rows whose label table entries disagree count as toxic if
 any entry says so; null ids are never learnt from and are scored like others;
 with one label only the score is the smoothed rate of label 1, and with no labels
-it is 0; an empty table gives an empty result; other columns are ignored, and
+it is 0; words that tie in their z-score are taken in code point order; rows repeated are
+learnt from and scored each; an empty table gives an empty result; other columns are ignored, and
 :func:`drop_toxic` hands them through untouched.
 """
 
@@ -47,9 +49,9 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
     ("personas", "mujeres", "hombres", "musulmanes", "cristianos", "judíos"),
 )
 
-WORD = r"\p{L}+"
 _WORD = re.compile(r"[^\W\d_]+")
-
+_SENTENCE = re.compile(r"[^.!?\n]+")
+_TERMS = frozenset(w for group in IDENTITY_GROUPS for w in group)
 
 LONG = 2_000_000
 
@@ -73,10 +75,19 @@ class ToxicityModel:
         return 0.0 if z == -math.inf else 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
+def mentions(text: str) -> list[list[str]]:
+    """The identity terms of each sentence that has any."""
+    low = text.lower()
+    if not any(w in low for w in _TERMS):
+        return []
+    held = (_TERMS.intersection(_WORD.findall(m.group())) for m in _SENTENCE.finditer(low))
+    return [sorted(h) for h in held if h]
+
+
 def train_rows(
     docs: DataFrame, labels: DataFrame, max_train: int, id_col: str = "doc_id", folds: int = 5
 ) -> DataFrame:
-    """(words, toxic) of at most ``max_train`` labelled ids outside the held-out fold."""
+    """(words, mentions, toxic) of at most ``max_train`` labelled ids outside the held-out fold."""
     chosen = (
         labels.select(F.col(id_col).alias("i"), (F.col("toxic") == 1).cast("int").alias("toxic"))
         .where(F.crc32(F.col("i").cast("string").cast("binary")) % folds != 0)
@@ -87,12 +98,19 @@ def train_rows(
         .limit(max_train)
     )
     # Bounded by max_train rows of two numbers, whatever the size of the tables.
-    words = F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(WORD), F.lit(0)))
-    return (
-        docs.select(F.col(id_col).alias("i"), F.coalesce("text", F.lit("")).alias("t"))
-        .join(F.broadcast(chosen), "i")
-        .select(words.alias("words"), F.col("toxic").cast("int").alias("toxic"))
-    )
+    rows = docs.select(F.col(id_col).alias("i"), F.coalesce("text", F.lit("")).alias("t")).join(F.broadcast(chosen), "i")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame(
+                {
+                    "words": [sorted(distinct_words(t)) for t in batch["t"]],
+                    "mentions": [mentions(t) for t in batch["t"]],
+                    "toxic": batch["toxic"].to_numpy(),
+                }
+            )
+
+    return rows.select("t", "toxic").mapInPandas(run, "words array<string>, mentions array<array<string>>, toxic int")
 
 
 def fit(
@@ -108,8 +126,9 @@ def fit(
     """Train on the driver from counts and presence vectors made by Spark.
 
     What reaches the driver is bounded by ``max_train`` rows of at most
-    ``max_words`` small integers.
+    ``max_words`` words, and a count for each pair of an identity term and the terms beside it.
     """
+    ship_package(docs.sparkSession)
     rows = train_rows(docs, labels, max_train).persist()
     try:
         sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -136,46 +155,51 @@ def fit(
         for group in IDENTITY_GROUPS:
             vocabulary += [w for w in group if w not in vocabulary]
         known = F.array(*[F.lit(w) for w in vocabulary])
-        held = rows.select(
-            F.array_intersect("words", known).alias("words"), "toxic"
-        ).collect()
+        held = rows.select(F.array_intersect("words", known).alias("words"), "toxic").collect()
+        # Sentences with the same terms swap alike; their number is what counts.
+        said = rows.select(F.explode("mentions").alias("terms")).groupBy("terms").agg(F.count("*").alias("n")).collect()
     finally:
         rows.unpersist()
-    return fit_local([r["words"] for r in held], [r["toxic"] for r in held], vocabulary, ridge, counterfactual, steps)
+    sentences = sorted((tuple(r["terms"]), r["n"]) for r in said)
+    return fit_local([r["words"] for r in held], [r["toxic"] for r in held], vocabulary, sentences, ridge, counterfactual, steps)
+
 
+def swap_penalty(sentences: list[tuple[tuple[str, ...], int]], at: dict[str, int]) -> np.ndarray:
+    """Mean of d d' over the swaps of each identity term of a sentence, d the change of its features.
 
-def swap_penalty(sentences: list[list[str]], at: dict[str, int]) -> np.ndarray:
-    """Mean of d d' over the swaps of each identity term, d the change of features."""
+    ``sentences`` are the identity terms of each, and how many there are.
+    """
     size = len(at)
     out, swaps = np.zeros((size, size)), 0
-    for words in sentences:
-        present = set(words)
+    for terms, n in sentences:
+        present = set(terms)
         for group in IDENTITY_GROUPS:
             for old in present.intersection(group):
                 for new in group:
-                    if new not in present and new in at:
+                    if new not in present and old in at and new in at:
                         i, j = at[old], at[new]
-                        out[i, i] += 1
-                        out[j, j] += 1
-                        out[i, j] -= 1
-                        out[j, i] -= 1
-                        swaps += 1
+                        out[i, i] += n
+                        out[j, j] += n
+                        out[i, j] -= n
+                        out[j, i] -= n
+                        swaps += n
     return out / max(swaps, 1)
 
 
 def fit_local(
-    sentences: list[list[str]],
+    texts: list[list[str]],
     toxic: list[int],
     vocabulary: list[str],
+    sentences: list[tuple[tuple[str, ...], int]],
     ridge: float = 1e-4,
     counterfactual: float = 1.0,
     steps: int = 50,
 ) -> ToxicityModel:
     """Newton's method on mean log-loss + ridge + counterfactual penalty."""
     at = {w: i for i, w in enumerate(vocabulary)}
-    x = np.zeros((len(sentences), len(at) + 1))
+    x = np.zeros((len(texts), len(at) + 1))
     x[:, -1] = 1  # the bias, neither penalised nor swapped
-    for row, words in enumerate(sentences):
+    for row, words in enumerate(texts):
         x[row, [at[w] for w in words if w in at]] = 1
     y = np.asarray(toxic, dtype=np.float64)
     shrink = np.zeros((len(at) + 1, len(at) + 1))
