@@ -291,6 +291,9 @@ class Join:
         k, identify = self.k, self.identify()
         wanted = buckets.select("node").distinct()
         rep = self.nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
+        # Written, it has a size that the planner knows: a small list of ids leaves the texts where they are.
+        rep = write_shared(rep, "join-reps")
+        wanted = rep.select("node")
         named = self.docs.join(rep.select(F.col("rep").cast("string").alias("i")), "i", "left_semi")
         texts = named.unionByName(self.docs.where("i IS NULL"))
 
