@@ -4,7 +4,10 @@ The two halves of a vector are quantised by their own codebooks; a pair of
 centroids is a cell.  A query takes the cells in the order of the summed
 squared distances of its halves to the centroids, with a heap over the sorted
 distances (multi-sequence traversal), until the cells seen hold a set share of
-all rows; every row of those cells is reranked by the exact distance.
+all rows; every row of those cells is reranked by the exact distance.  Cells that cannot
+hold a neighbour are passed over: the radius of a code in each half bounds the
+distance of a cell's rows from below, and the k-th distance among a few rows of the
+sample bounds the result's from above.
 
 Fit: codebooks come from at most ``max_sample`` rows (least hash of the id).
 The share is calibrated on that sample: the least share that finds ``target``
@@ -17,11 +20,11 @@ queries is split by query; a task holds one bucket and its queries.  Vectors
 that are equal tie at every distance, so at most k+1 of them (the smallest ids)
 can ever be returned; the others are set aside before the index (exactly, by a
 group limit ahead of the shuffle), which keeps a very common vector harmless.
-The driver holds the sample and a table of at most ``max_codes``**2 counts.
+The driver holds the sample and a table of at most ``max_codes``**2 counts.  Vectors of
+another length lie in another space: each length has an index of its own.
 
-Defined cases: null ids; vectors null, empty, zero, or with null or non-finite
-components; and vectors not of the most frequent length (ties: the longer) take
-no part.  Rows repeated exactly count once.  Ties go to the smaller id.  An empty
+Defined cases: null ids and vectors null, empty, zero, or with null or non-finite
+components take no part; rows are near rows of their own length alone.  Rows repeated exactly count once.  Ties go to the smaller id.  An empty
 table gives an empty result.  Other columns are ignored.
 """
 
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 
 from docketry.session import ship_package, write_shared
 
+BOUNDS = 2048
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
 
@@ -65,8 +69,14 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return gaps(x, centres).argmin(1)
 
 
-def traverse(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float) -> list[int]:
-    """Cells by summed distance until they hold ``enough`` rows; empty ones are passed."""
+def traverse(
+    first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough: float, near: np.ndarray | None = None, far: np.ndarray | None = None, limit: float = np.inf
+) -> list[int]:
+    """Cells by summed distance until they hold ``enough`` rows; empty ones are passed.
+
+    ``near`` and ``far`` are least squared distances to any row of a code: cells where they
+    sum to more than ``limit`` count as seen, but are not returned.
+    """
     i_of, j_of = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
     a, b = first[i_of].tolist(), second[j_of].tolist()
     i_list, j_list = i_of.tolist(), j_of.tolist()
@@ -78,7 +88,8 @@ def traverse(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough:
         cell = i_list[i] * width + j_list[j]
         if counts[cell]:
             held += counts[cell]
-            out.append(cell)
+            if near is None or near[i_list[i]] + far[j_list[j]] <= limit:
+                out.append(cell)
         if j + 1 < len(b):
             heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(a):
@@ -86,11 +97,17 @@ def traverse(first: np.ndarray, second: np.ndarray, counts: np.ndarray, enough:
     return out
 
 
+def least(squares: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Least squared distance to a row within ``radius`` of a centroid ``squares`` away, with room for rounding."""
+    return np.maximum(0, np.sqrt(np.maximum(squares, 0)) * (1 - 1e-9) - radius * (1 + 1e-9) - 1e-9) ** 2
+
+
 @dataclass(frozen=True)
 class MultiIndex:
     first: np.ndarray
     second: np.ndarray
     share: float
+    some: np.ndarray  # rows of the sample
 
     @property
     def half(self) -> int:
@@ -99,6 +116,20 @@ class MultiIndex:
     def cells(self, x: np.ndarray) -> np.ndarray:
         return nearest(x[:, : self.half], self.first) * len(self.second) + nearest(x[:, self.half :], self.second)
 
+    def apart(self, x: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of the rows' halves to their centroids."""
+        i, j = np.divmod(cells, len(self.second))
+        a, b = x[:, : self.half] - self.first[i], x[:, self.half :] - self.second[j]
+        return np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
+
+    def limits(self, x: np.ndarray, k: int) -> np.ndarray:
+        """Squared distances that the k-th neighbour of a row does not exceed."""
+        if len(self.some) <= k:
+            return np.full(len(x), np.inf)
+        # One more than k: the row itself may be among them.
+        d = np.maximum(np.partition(gaps(x, self.some), k, axis=1)[:, k], 0)
+        return d + 1e-6 * (1 + d + (x * x).sum(1))
+
 
 def calibrate(x: np.ndarray, first: np.ndarray, second: np.ndarray, k: int, target: float, probes: int = 256) -> float:
     """Least share of rows to traverse that finds ``target`` of the sample's neighbours."""
@@ -121,15 +152,14 @@ def calibrate(x: np.ndarray, first: np.ndarray, second: np.ndarray, k: int, targ
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """Rows that take part, as (vec_id, v) with v as doubles of one length."""
+    """Rows that take part, as (vec_id, v, n) with v as n doubles."""
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(
         F.col("vec_id").isNotNull()
         & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
         & F.exists("v", lambda c: c != 0)
     )
-    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    return rows.where(F.size("v") == (lengths[0]["n"] if lengths else 0))
+    return rows.withColumn("n", F.size("v"))
 
 
 def fit(rows: DataFrame, total: int, k: int, max_sample: int, max_codes: int, target: float) -> MultiIndex:
@@ -139,7 +169,7 @@ def fit(rows: DataFrame, total: int, k: int, max_sample: int, max_codes: int, ta
     codes = int(max(2, min(max_codes, (total / 20) ** 0.5)))
     first = kmeans(x[:, :half], codes)
     second = kmeans(x[:, half:], codes) if half < x.shape[1] else np.zeros((1, 0))
-    return MultiIndex(first, second, calibrate(x, first, second, k, target))
+    return MultiIndex(first, second, calibrate(x, first, second, k, target), x[:BOUNDS].copy())
 
 
 def matrix(batch: pa.RecordBatch, name: str = "v") -> np.ndarray:
@@ -181,24 +211,40 @@ def search(
     # Equal vectors: the k+1 smallest ids can be returned, no others.
     equal = Window.partitionBy("v").orderBy("vec_id")
     rows_once = (
-        rows.withColumn("r", F.dense_rank().over(equal)).where(F.col("r") <= k + 1).select("vec_id", "v").dropDuplicates()
+        rows.withColumn("r", F.dense_rank().over(equal)).where(F.col("r") <= k + 1).select("vec_id", "v", "n").dropDuplicates()
     )
     kept = write_shared(rows_once, "ann-rows")
-    total = kept.count()
-    if not total:
-        return spark.createDataFrame([], RESULT)
-    index = fit(kept, total, k, max_sample, max_codes, target)
+    out = spark.createDataFrame([], RESULT)
+    for length in sorted(kept.groupBy("n").count().collect()):
+        own = F.col("n") == length["n"]
+        asked = rows.where(own & (F.col("vec_id") % every == 0)).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
+        index = fit(kept.where(own), length["count"], k, max_sample, max_codes, target)
+        out = out.unionByName(_search(kept.where(own).select("vec_id", "v"), asked, index, length["count"], k, bucket_rows, bucket_queries))
+    return out
+
+
+def _search(
+    kept: DataFrame, asked: DataFrame, index: MultiIndex, total: int, k: int, bucket_rows: int, bucket_queries: int
+) -> DataFrame:
+    """The k nearest rows of ``kept`` to each of ``asked``, vectors of one length."""
+    spark = kept.sparkSession
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                cells = pa.array(index.cells(matrix(batch)), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), cells], ["vec_id", "v", "cell"])
-
-    indexed = write_shared(kept.mapInArrow(locate, "vec_id bigint, v array<double>, cell int"), "ann-cells")
-    counts = np.zeros(len(index.first) * len(index.second), dtype=np.int64)
-    for r in indexed.groupBy("cell").count().collect():  # at most max_codes ** 2 rows
-        counts[r["cell"]] = r["count"]
+                x = matrix(batch)
+                cells = index.cells(x)
+                columns = [batch.column("vec_id"), batch.column("v"), pa.array(cells, pa.int32()), *map(pa.array, index.apart(x, cells))]
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "cell", "da", "db"])
+
+    indexed = write_shared(kept.mapInArrow(locate, "vec_id bigint, v array<double>, cell int, da double, db double"), "ann-cells")
+    width = len(index.second)
+    counts = np.zeros(len(index.first) * width, dtype=np.int64)
+    radius = np.zeros(len(index.first)), np.zeros(width)
+    for r in indexed.groupBy("cell").agg(F.count("*").alias("n"), F.max("da").alias("a"), F.max("db").alias("b")).collect():
+        counts[r["cell"]] = r["n"]  # at most max_codes ** 2 rows
+        i, j = divmod(r["cell"], width)
+        radius[0][i], radius[1][j] = max(radius[0][i], r["a"]), max(radius[1][j], r["b"])
     # Cells in the order of their first codes fill the buckets; large cells get several.
     parts = np.maximum(1, -(-counts // bucket_rows))
     bucket = np.zeros(len(counts), dtype=np.int64)
@@ -220,9 +266,10 @@ def search(
             if not len(x):
                 continue
             near, far = gaps(x[:, : index.half], index.first), gaps(x[:, index.half :], index.second)
-            for q, v, a, b in zip(batch.column("vec_id").to_pylist(), x, near, far, strict=True):
+            lows = least(near, radius[0]), least(far, radius[1])
+            for q, v, a, b, c, d, limit in zip(batch.column("vec_id").to_pylist(), x, near, far, *lows, index.limits(x, k), strict=True):
                 asked: dict[int, list[int]] = {}
-                for cell in traverse(a, b, counts, enough):
+                for cell in traverse(a, b, counts, enough, c, d, limit):
                     for p in range(int(parts[cell])):
                         asked.setdefault(int(bucket[cell]) + p, []).append(cell)
                 out += [(q, v.tolist(), g, cells) for g, cells in asked.items()]
@@ -230,18 +277,20 @@ def search(
             columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
     routed = write_shared(asked.mapInArrow(route, "query_id bigint, q array<double>, bucket bigint, cells array<int>"), "ann-queries")
-    most = routed.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-    chunks = max(1, -(-most // bucket_queries))
+    # A bucket is read once for every bucket_queries queries that ask for it; one nobody asks for, never.
+    chunks = routed.groupBy("bucket").agg(F.ceil(F.count("*") / bucket_queries).cast("int").alias("chunks"))
+    chunks = write_shared(chunks, "ann-chunks")
     spread = spark.createDataFrame(
         [(c, int(bucket[c]), int(parts[c])) for c in np.flatnonzero(counts).tolist()], "cell int, base bigint, parts int"
     )  # at most max_codes ** 2 rows of three numbers
     dealt = indexed.join(F.broadcast(spread), "cell").select(
-        "vec_id", "v", "cell", (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("bucket"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
-    )
-    queries = routed.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
+        "vec_id", "v", "cell", (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("bucket")
+    )
+    dealt = dealt.join(chunks, "bucket").select(
+        "vec_id", "v", "cell", "bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    )
+    queries = routed.join(chunks, "bucket").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int")).drop("chunks")
 
     def nearby(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []

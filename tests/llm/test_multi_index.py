@@ -47,6 +47,56 @@ def test_ties_copies_and_unusable_vectors(spark):
     assert all(s == 0 for _, s, _ in got[200]) and all(s == 1 for _, s, _ in got[500])
 
 
+def test_each_length_has_its_index(spark):
+    rng = np.random.default_rng(8)
+    long, short = rng.normal(size=(300, 8)), rng.normal(size=(120, 3))
+    rows = [(i, v) for i, v in enumerate(long.tolist())] + [(1000 + i, v) for i, v in enumerate(short.tolist())]
+    got = run(spark, rows, target=1.0)
+    for ids, x in ((np.arange(300), long), (np.arange(1000, 1120), short)):
+        for q in ids[ids % 100 == 0]:
+            assert [i for i, _, _ in got[q]] == [i for i, _ in brute(ids, x, q, 10)]
+    assert set(got) == {0, 100, 200, 1000, 1100}
+
+
+def test_passed_over_cells_hold_no_neighbour(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 12)) * 20
+    x = np.concatenate([c + rng.normal(size=(60, 12)) for c in centres])
+    counts, half = None, 6
+    index = multi_index.MultiIndex(multi_index.kmeans(x[:, :half], 12), multi_index.kmeans(x[:, half:], 12), 1.0, x[::3][:800])
+    cells = index.cells(x)
+    counts = np.bincount(cells, minlength=144)
+    da, db = index.apart(x, cells)
+    ra, rb = np.zeros(12), np.zeros(12)
+    np.maximum.at(ra, cells // 12, da)
+    np.maximum.at(rb, cells % 12, db)
+    asked = 0
+    for q in range(0, len(x), 37):
+        near, far = multi_index.gaps(x[q : q + 1, :half], index.first)[0], multi_index.gaps(x[q : q + 1, half:], index.second)[0]
+        got = multi_index.traverse(near, far, counts, len(x), multi_index.least(near, ra), multi_index.least(far, rb), index.limits(x[q : q + 1], 10)[0])
+        want = {i for i, _ in brute(np.arange(len(x)), x, q, 10)}
+        assert {int(cells[i]) for i in want} <= set(got)
+        asked += counts[got].sum()
+    assert asked < 0.3 * len(x) * len(range(0, len(x), 37))
+
+
+def test_recall_on_the_given_embeddings(spark):
+    from pathlib import Path
+
+    from docketry.llm import entry
+
+    folder = "/root/testdata/sf0.01"
+    if not Path(folder).exists():
+        pytest.skip("no test data")
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float64)
+    got = {}
+    for r in entry.op1_multi_index(spark, folder).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = {q: {i for i, _ in brute(ids, x, q, 10)} for q in ids[ids % 100 == 0]}
+    assert sum(len(want[q] & got[q]) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
 def test_few_rows_and_empty(spark):
     assert run(spark, []) == {} and run(spark, [(100, None)]) == {}
     assert run(spark, [(100, [1.0, 0.0])]) == {}
