@@ -1,17 +1,20 @@
 """Licence notices: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line of a text.  Paragraphs with a licence word (``ANCHOR``) are
-classified by a multinomial logistic regression over sparse word n-grams (one to
-three words) into licence families and ``unknown``; a paragraph without such a
-word is outside the model's domain and is not listed.  The probabilities are
-calibrated by a temperature chosen on held-out training paragraphs; ``unknown``
-wins whenever no family reaches ``LEAST``.  A predicted family must then be
-confirmed: at least ``CONFIRM`` of the paragraph's distinct pairs of neighbouring
-words stand in the family's templates, or it becomes ``unknown``.  A line that is
-``unknown`` as a whole may hold a notice among other words: its windows of
-``WIDTHS`` words that have a licence word are classified as well, under the
-stricter share ``WITHIN``, and the line takes the family of the best confirmed one
-(largest share, then widest, then first).  A line gives one row.
+A paragraph is a line of a text (of a wrapped notice every line is one, as each
+stands in the template).  Paragraphs are classified by a multinomial logistic regression
+over sparse word n-grams (one to three words) into licence families and ``unknown``.
+The probabilities are calibrated by a temperature chosen on notices among other
+words (``mixed``); ``unknown`` wins whenever no family reaches ``LEAST``.  A predicted family must be
+confirmed by its templates: at least ``CONFIRM`` of the paragraph's distinct pairs of
+neighbouring words stand in them, and one of these in no other family's.  A line may
+hold notices among other words: its windows of ``WIDTHS`` words are classified
+as well, under the stricter share ``WITHIN`` and with ``PAIRS`` pairs or more.  A line gives one
+row: the family of the whole line, else of the best confirmed window (largest share, then
+widest, then first), and the list of all families that are confirmed in it.
+
+Every line of every text is held against the templates; what these rule out, whole and
+in every window, can be no family, and is not listed.  The classifier then judges the rest, some
+of it ``unknown``.
 
 Training happens on the driver, in a second, from the fixed notices below and
 their croppings; nothing is learnt from the corpus, so every run has the same
@@ -19,7 +22,8 @@ model.  Scoring is column expressions only: one pass over whole texts, no
 shuffle, no Python on the executors.  The model is a constant of the plan.
 
 Defined cases: null and empty texts list nothing; null ids and repeated rows are
-handed through; an empty table gives an empty result; other columns are ignored.
+handed through; families that tie in probability are taken in the order of ``FAMILIES``; lines and
+texts of any length are read whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,22 +31,22 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR = (
-    r"(?i)licen[cs]|copyright|warrant|permission|redistribut|rights reserved|public domain|creative commons|spdx|"
-    r"proprietary|gnu general|gnu lesser|all rights|\bcc[ -]by\b|\bcc0\b|\b[al]?gpl|\bmpl\b|mozilla public|apache|\bbsd\b"
-)
+from docketry.llm.spans import bound
+
 UNKNOWN = "unknown"
 LEAST = 0.5
 CONFIRM = 0.4
 WIDTHS = (6, 10, 16)
 WITHIN = 0.6
+PAIRS = 3
+LOT = 256
 
 # Customary notices of the families, as training text and templates.
 NOTICES: dict[str, tuple[str, ...]] = {
@@ -69,6 +73,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Distributed under the terms of GPLv3 or later.",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
@@ -91,6 +96,12 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "If a copy of the MPL was not distributed with this file, you can obtain one at the Mozilla site; see the Mozilla Public License.",
         "SPDX-License-Identifier: MPL-2.0",
         "Licensed under the Mozilla Public License version 2.0.",
+        "Use is subject to the terms of the MPL 2.0.",
+    ),
+    "epl": (
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
     ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -122,6 +133,8 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "The fishing licence costs ten pounds a year.",
         "The software uses a proprietary format that few tools can read.",
         "The question of public domain maps came up in the meeting.",
+        "You may not use this lift except in an emergency.",
+        "All the rights of the tenants were reserved for a later debate.",
     ),
 }
 FAMILIES = tuple(NOTICES)
@@ -136,41 +149,67 @@ def grams(words: list[str]) -> list[str]:
     return list(dict.fromkeys(" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)))
 
 
-@dataclass(frozen=True)
+def pairs_of(words: list[str]) -> list[str]:
+    """Distinct pairs of neighbouring words, in order."""
+    return list(dict.fromkeys(" ".join(words[i : i + 2]) for i in range(len(words) - 1)))
+
+
+@dataclass
 class LicenceModel:
     weights: dict[str, list[float]]  # n-gram -> weight of each family, divided by the temperature
     bias: list[float]
     pairs: dict[str, list[str]]  # family -> pairs of neighbouring words in its notices
 
-    def score(self, text: str) -> tuple[str, float, float]:
-        """(family, probability, containment) of a paragraph, or of the best window of one unknown as a whole."""
+    @cached_property
+    def own(self) -> dict[str, list[str]]:
+        """family -> its pairs that no other family has."""
+        times = Counter(p for f in FAMILIES for p in self.pairs[f])
+        return {f: [p for p in self.pairs[f] if times[p] == 1] for f in FAMILIES}
+
+    @cached_property
+    def apart(self) -> frozenset[str]:
+        return frozenset(p for f, own in self.own.items() if f != UNKNOWN for p in own)
+
+    @cached_property
+    def every(self) -> frozenset[str]:
+        return frozenset(p for f in FAMILIES if f != UNKNOWN for p in self.pairs[f])
+
+    def score(self, text: str) -> tuple[str, float, float, str] | None:
+        """(family, probability, containment, all families) of a paragraph; None where the templates rule all out."""
         words = word_list(text)
+        def possible(words: list[str], least: float, many: int) -> bool:
+            two = pairs_of(words)
+            shared = [p for p in two if p in self.every]
+            return len(shared) >= many and len(shared) >= least * len(two) and not self.apart.isdisjoint(two)
+
+        windows = [
+            (width, at, words[at : at + width])
+            for width in WIDTHS
+            for at in range(len(words) - width + 1)
+            if possible(words[at : at + width], WITHIN, PAIRS)
+        ]
+        if not possible(words, CONFIRM, 1) and not windows:
+            return None
         whole = self.judge(words, CONFIRM)
-        if whole[0] != UNKNOWN:
-            return whole
-        found = []
-        for width in WIDTHS:
-            for at in range(len(words) - width + 1):
-                window = words[at : at + width]
-                if re.search(ANCHOR, " ".join(window)):
-                    made = self.judge(window, WITHIN)
-                    if made[0] != UNKNOWN:
-                        found.append(((made[2], width, -at), made))
-        return max(found)[1] if found else whole
+        found = [((made[2], width, -at), made) for width, at, w in windows if (made := self.judge(w, WITHIN))[0] != UNKNOWN]
+        top = whole if whole[0] != UNKNOWN or not found else max(found)[1]
+        named = {m[0] for m in [whole, *(m for _, m in found)]} - {UNKNOWN}
+        return (*top, ",".join(sorted(named)))
 
     def judge(self, words: list[str], confirm: float) -> tuple[str, float, float]:
-        known = [g for g in grams(words) if g in self.weights]
         z = list(self.bias)
-        for g in known:
-            z = [a + b for a, b in zip(z, self.weights[g], strict=True)]
+        for g in grams(words):
+            if g in self.weights:
+                z = [a + b for a, b in zip(z, self.weights[g], strict=True)]
         shares = softmax(z)
         best = max(range(len(shares)), key=lambda i: (shares[i], -i))
         family = FAMILIES[best]
-        own = list(dict.fromkeys(" ".join(words[i : i + 2]) for i in range(len(words) - 1)))
-        shared = len(set(own) & set(self.pairs[family])) / len(own) if own else 0.0
-        if family == UNKNOWN or shares[best] < LEAST or shared < confirm:
+        two = pairs_of(words)
+        shared = set(two) & set(self.pairs[family])
+        part = len(shared) / len(two) if two else 0.0
+        if family == UNKNOWN or shares[best] < LEAST or part < confirm or not shared & set(self.own[family]):
             family = UNKNOWN
-        return family, shares[best], shared
+        return family, shares[best], part
 
 
 def softmax(z: list[float]) -> list[float]:
@@ -192,6 +231,17 @@ def examples() -> list[tuple[list[str], int]]:
     return out
 
 
+def mixed(turn: int) -> list[tuple[list[str], int]]:
+    """Every notice between parts of two other sentences; even and odd turns share none of these."""
+    others = [word_list(x) for x in NOTICES[UNKNOWN]][turn % 2 :: 2]
+    out = []
+    for label, family in enumerate(FAMILIES):
+        for n, notice in enumerate(NOTICES[family]):
+            before, after = others[(n + turn) % len(others)], others[(2 * n + 3) % len(others)]
+            out.append((grams(before[: len(before) // 2] + word_list(notice) + after[len(after) // 2 :]), label))
+    return out
+
+
 def descend(rows: list[tuple[list[str], int]], rounds: int, rate: float = 0.3, ridge: float = 1e-4):
     """Multinomial logistic regression by adaptive stochastic descent; row order is fixed."""
     many = len(FAMILIES)
@@ -223,10 +273,9 @@ def descend(rows: list[tuple[list[str], int]], rounds: int, rate: float = 0.3, r
 
 
 @cache
-def trained(rounds: int = 6) -> LicenceModel:
-    rows = examples()
-    kept, held = [r for i, r in enumerate(rows) if i % 4], [r for i, r in enumerate(rows) if not i % 4]
-    weights, bias = descend(kept, rounds)
+def trained(rounds: int = 30) -> LicenceModel:
+    weights, bias = descend(examples() + mixed(0), rounds)
+    held = mixed(1)  # paragraphs that no weight is fitted to
 
     def cost(t: float) -> float:
         out = 0.0
@@ -236,10 +285,9 @@ def trained(rounds: int = 6) -> LicenceModel:
         return out
 
     heat = min((0.25 * 1.25**i for i in range(16)), key=cost)
-    weights, bias = descend(rows, rounds)
     small = {g: [round(v / heat, 4) for v in w] for g, w in weights.items()}
     pairs = {
-        f: sorted({" ".join(w[i : i + 2]) for n in NOTICES[f] for w in [word_list(n)] for i in range(len(w) - 1)})
+        f: sorted({p for n in NOTICES[f] for p in pairs_of(word_list(n))})
         for f in FAMILIES
     }
     return LicenceModel(small, [round(v / heat, 4) for v in bias], pairs)
@@ -251,79 +299,115 @@ def constant(value: object, kind: str) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line, family, score, containment of every paragraph with a licence word."""
+    """doc_id, line, family, score, containment, families of every paragraph that the templates do not rule out."""
     model = trained()
+    own = {f: p for f, p in model.own.items() if f != UNKNOWN}
+    apart, every = sorted(model.apart), sorted(model.every)
+
+    def joined(a: Column, b: Column) -> Column:
+        return F.when(a.isNotNull() & b.isNotNull(), F.concat(a, F.lit(" "), b))
+
+    def shifted(w: Column, by: int) -> Column:
+        return F.slice(w, 1 + by, F.greatest(F.size(w) - by, F.lit(0)))
+
+    def in_pairs(w: Column) -> Column:
+        return F.slice(F.zip_with(w, shifted(w, 1), joined), 1, F.greatest(F.size(w) - 1, F.lit(0)))
+
+    def pairs(w: Column) -> Column:
+        return F.array_distinct(in_pairs(w))
+
+    def known(two: Column, templates: list[str]) -> Column:
+        return F.filter(two, lambda p: p.isin(templates))
+
+    def possible(two: Column, least: float, many: int) -> Column:
+        shared = F.size(known(two, every))
+        return (shared >= many) & (shared >= least * F.size(two)) & F.exists(two, lambda p: p.isin(apart))
+
+    words = F.filter(F.split(F.lower("paragraph"), "[^a-z0-9]+"), lambda w: w != "")
+    spots = F.transform(F.col("all"), lambda p, i: F.when(p.isin(every), i + 1))
     lines = (
-        docs.where(F.col(text_col).rlike(ANCHOR))
-        .select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "paragraph"))
-        .where(F.col("paragraph").rlike(ANCHOR))
+        docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "paragraph"))
+        .select("doc_id", "line", words.alias("words"))
+        .select("doc_id", "line", "words", in_pairs(F.col("words")).alias("all"))
+        .where(F.exists("all", lambda p: p.isin(apart)))
+        .select("doc_id", "line", "words", F.array_distinct("all").alias("two"), F.filter(spots, lambda i: i.isNotNull()).alias("hits"))
+        # A window needs PAIRS pairs of the templates, the whole line its share.
+        .where((F.size("hits") >= PAIRS) | possible(F.col("two"), CONFIRM, 1))
     )
-    words = F.filter(F.split(F.lower("paragraph"), "[^a-z0-9]+"), lambda w: w != "")
-
-    def runs(w: Column, n: int) -> Column:
-        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
-    known = constant(sorted(model.weights), "array<string>")
+    grams_known = sorted(model.weights)
     weights = constant(model.weights, "map<string,array<double>>")
     bias = constant(model.bias, "array<double>")
-    pairs = constant([model.pairs[f] for f in FAMILIES], "array<array<string>>")
-    every = constant(sorted({p for f in FAMILIES if f != UNKNOWN for p in model.pairs[f]}), "array<string>")
+    templates = constant([model.pairs[f] for f in FAMILIES], "array<array<string>>")
+    owned = constant([own.get(f, []) for f in FAMILIES], "array<array<string>>")
     names = constant(list(FAMILIES), "array<string>")
 
     def sums(w: Column) -> Column:
+        found = bound(in_pairs(w), lambda two: F.concat(w, two, F.filter(F.zip_with(two, shifted(w, 2), joined), lambda g: g.isNotNull())))
+        found = F.array_distinct(found)
         return F.aggregate(
-            F.array_intersect(F.concat(w, runs(w, 2), runs(w, 3)), known),
+            F.filter(found, lambda g: g.isin(grams_known)),
             bias,
             lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, b: a + b),
         )
 
-    def best(z: Column) -> Column:
-        return F.array_position(z, F.array_max(z)).cast("int")
-
     def probability(z: Column) -> Column:
         return 1 / F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - F.array_max(z)))
 
-    def share(two: Column, templates: Column) -> Column:
-        return F.when(F.size(two) > 0, F.size(F.array_intersect(two, templates)) / F.size(two)).otherwise(0.0)
+    def judged(w: Column, two: Column, confirm: float) -> Column:
+        """struct<family, score, containment>."""
+
+        def told(z: Column) -> Column:
+            best = F.array_position(z, F.array_max(z)).cast("int")
+            shared = F.array_intersect(two, F.element_at(templates, best))
+            part = F.when(F.size(two) > 0, F.size(shared) / F.size(two)).otherwise(0.0)
+            sure = (
+                (F.element_at(names, best) != UNKNOWN) & (probability(z) >= LEAST) & (part >= confirm)
+                & F.arrays_overlap(shared, F.element_at(owned, best))
+            )
+            return F.struct(
+                F.when(sure, F.element_at(names, best)).otherwise(UNKNOWN).alias("family"),
+                probability(z).alias("score"), part.alias("containment"),
+            )
+
+        return bound(sums(w), told)
 
     def windows(width: int) -> Column:
-        w = F.col("words")
-        starts = F.when(
-            (F.col("family") == UNKNOWN) & (F.size(w) >= width), F.sequence(F.lit(1), F.size(w) - (width - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        cut = F.transform(starts, lambda i: F.struct((-i).alias("at"), F.slice(w, i, width).alias("w")))
-        return F.filter(cut, lambda c: F.array_join(c["w"], " ").rlike(ANCHOR))
-
-    whole = (
-        lines.select("doc_id", "line", words.alias("words"))
-        .select("doc_id", "line", "words", F.array_distinct(runs(F.col("words"), 2)).alias("two"), sums(F.col("words")).alias("z"))
-        .select("doc_id", "line", "words", "two", best(F.col("z")).alias("best"), probability(F.col("z")).alias("score"))
-        .select(
-            "doc_id", "line", "words", "score", F.element_at(names, F.col("best")).alias("named"),
-            share(F.col("two"), F.element_at(pairs, F.col("best"))).alias("containment"),
-        )
-        .select(
-            "doc_id", "line", "words", "score", "containment",
-            F.when((F.col("score") >= LEAST) & (F.col("containment") >= CONFIRM), F.col("named")).otherwise(UNKNOWN).alias("family"),
+        # Of PAIRS neighbouring hits within a window its possible starts follow.
+        hits, last = F.col("hits"), F.size("words") - width + 1
+        close = F.filter(
+            F.zip_with(hits, shifted(hits, PAIRS - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+            lambda x: x["b"].isNotNull() & (x["b"] - x["a"] <= width - 2),
         )
-    )
-    # Windows that no template could confirm go first; what is left is classified.
-    kept = F.concat(*[windows(width) for width in WIDTHS])
-    kept = F.transform(kept, lambda c: F.struct(c["at"].alias("at"), c["w"].alias("w"), F.array_distinct(runs(c["w"], 2)).alias("two")))
-    kept = F.filter(kept, lambda c: share(c["two"], every) >= WITHIN)
-    kept = F.transform(kept, lambda c: F.struct(c["at"].alias("at"), F.size(c["w"]).alias("width"), c["two"].alias("two"), sums(c["w"]).alias("z")))
-    judged = F.transform(
-        "kept",
+        starts = F.transform(close, lambda x: F.sequence(F.greatest(x["b"] - width + 2, F.lit(1)), F.least(x["a"], last)))
+        starts = F.when(last >= 1, F.array_distinct(F.flatten(starts))).otherwise(F.array().cast("array<int>"))
+
+        def taken(i: Column) -> Column:
+            lot = ((i - 1) / LOT).cast("int")
+            return F.slice(F.element_at("lots", lot + 1), i - lot * LOT, width)
+
+        cut = F.transform(starts, lambda i: bound(taken(i), lambda c: F.struct((-i).alias("at"), c.alias("w"), pairs(c).alias("two"))))
+        return F.filter(cut, lambda c: possible(c["two"], WITHIN, PAIRS))
+
+    # A slice costs its whole array: windows are sliced from lots of words.
+    lots = F.transform(F.sequence(F.lit(0), (F.size("words") / LOT).cast("int")), lambda k: F.slice("words", k * LOT + 1, LOT + max(WIDTHS)))
+    lines = lines.withColumn("lots", lots)
+    kept = lines.withColumn("kept", F.concat(*[windows(width) for width in WIDTHS])).where(
+        (F.size("kept") > 0) | possible(F.col("two"), CONFIRM, 1)
+    )
+    told = F.transform("kept", lambda c: F.struct(c["at"].alias("at"), F.size(c["w"]).alias("width"), judged(c["w"], c["two"], WITHIN).alias("j")))
+    ranked = F.transform(
+        F.filter("told", lambda c: c["j"]["family"] != UNKNOWN),
         lambda c: F.struct(
-            share(c["two"], F.element_at(pairs, best(c["z"]))).alias("containment"), c["width"].alias("width"), c["at"].alias("at"),
-            F.element_at(names, best(c["z"])).alias("family"), probability(c["z"]).alias("score"),
+            c["j"]["containment"].alias("containment"), c["width"].alias("width"), c["at"].alias("at"),
+            c["j"]["family"].alias("family"), c["j"]["score"].alias("score"),
         ),
     )
-    sure = F.filter(judged, lambda c: (c["family"] != UNKNOWN) & (c["score"] >= LEAST) & (c["containment"] >= WITHIN))
-    top = F.col("top")
+    top = F.when(F.col("whole.family") == UNKNOWN, F.array_max("sure"))
+    named = F.filter(F.concat(F.array("whole.family"), F.transform("sure", lambda c: c["family"])), lambda f: f != UNKNOWN)
     return (
-        whole.withColumn("kept", kept)
-        .withColumn("top", F.array_max(sure))
-        .select("doc_id", "line", *[F.coalesce(top[c], F.col(c)).alias(c) for c in ("family", "score", "containment")])
+        kept.select("doc_id", "line", judged(F.col("words"), F.col("two"), CONFIRM).alias("whole"), told.alias("told"))
+        .select("doc_id", "line", "whole", ranked.alias("sure"))
+        .select("doc_id", "line", "whole", top.alias("top"), F.array_join(F.array_sort(F.array_distinct(named)), ",").alias("families"))
+        .select("doc_id", "line", *[F.coalesce(F.col("top")[c], F.col("whole")[c]).alias(c) for c in ("family", "score", "containment")], "families")
     )
