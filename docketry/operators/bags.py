@@ -30,29 +30,58 @@ def token_rows(rows: DataFrame, doc: str, position: str, text: str) -> DataFrame
     return flat.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("p", "q")).alias("k"), "tok")
 
 
+def _runs(tokens: DataFrame, longest: int) -> DataFrame:
+    """(doc, runs): at every token the two to ``longest`` neighbouring tokens from it on, together and apart."""
+    order = Window.partitionBy("doc").orderBy("k")
+    wide = tokens.select("doc", "tok", *[F.lead("tok", i).over(order).alias(f"a{i}") for i in range(1, longest)])
+
+    def run(i: int) -> Column:
+        parts = ["tok", *[f"a{j}" for j in range(1, i + 1)]]
+        return F.when(F.col(f"a{i}").isNotNull(), F.struct(F.concat(*parts).alias("whole"), F.array(*parts).alias("parts")))
+
+    return wide.select("doc", F.filter(F.array(*[run(i) for i in range(1, longest)]), lambda r: r.isNotNull()).alias("runs"))
+
+
 def joined_runs(tokens: DataFrame, longest: int = 4) -> DataFrame:
     """(doc, tok, parts): two to ``longest`` neighbouring tokens written together."""
-    order = Window.partitionBy("doc").orderBy("k")
-    ahead = [F.lead("tok", i).over(order) for i in range(1, longest)]
-    wide = tokens.select("doc", "tok", *[a.alias(f"a{i}") for i, a in enumerate(ahead, 1)])
-    runs = F.array(
-        *[
-            F.when(F.col(f"a{i}").isNotNull(), F.struct(F.concat("tok", *[f"a{j}" for j in range(1, i + 1)]).alias("tok"), F.lit(i + 1).alias("parts")))
-            for i in range(1, longest)
-        ]
+    found = _runs(tokens, longest).select("doc", F.explode("runs").alias("r"))
+    return found.select("doc", F.col("r.whole").alias("tok"), F.size("r.parts").alias("parts"))
+
+
+def _pieces(least: int) -> Column:
+    """Proper beginnings and endings of ``tok``."""
+    sizes = F.sequence(F.lit(least), F.length("tok") - 1)
+    return F.concat(
+        F.transform(sizes, lambda n: F.substring("tok", F.lit(1), n)),
+        F.transform(sizes, lambda n: F.substring(F.col("tok"), F.length("tok") - n + 1, n)),
     )
-    return wide.select("doc", F.explode(F.filter(runs, lambda r: r.isNotNull())).alias("r")).select("doc", "r.tok", "r.parts")
 
 
 def fragments(source: DataFrame, least_piece: int = 3, least_word: int = 5) -> DataFrame:
     """(doc, tok): proper beginnings and endings of the source's longer words."""
     words = source.where(F.length("tok") >= least_word).select("doc", "tok").distinct()
-    sizes = F.sequence(F.lit(least_piece), F.length("tok") - 1)
-    pieces = F.concat(
-        F.transform(sizes, lambda n: F.substring("tok", F.lit(1), n)),
-        F.transform(sizes, lambda n: F.substring(F.col("tok"), F.length("tok") - n + 1, n)),
-    )
-    return words.select("doc", F.explode(pieces).alias("tok")).distinct()
+    return words.select("doc", F.explode(_pieces(least_piece)).alias("tok")).distinct()
+
+
+def _asked(left: DataFrame) -> DataFrame:
+    """(doc, asked): the tokens of a document that are still to be accounted for."""
+    return left.groupBy("doc").agg(F.collect_set("tok").alias("asked"))
+
+
+def _written_together(tokens: DataFrame, asked: DataFrame, longest: int = 4) -> DataFrame:
+    """(doc, tok): asked tokens that are a run of ``tokens``; documents that ask for nothing are not unfolded."""
+    wholes = F.transform("runs", lambda r: r["whole"])
+    held = _runs(tokens, longest).join(asked, "doc").select("doc", F.explode(F.array_intersect(wholes, "asked")).alias("tok"))
+    return held.distinct()
+
+
+def _taken_apart(source: DataFrame, parsed: DataFrame, asked: DataFrame, longest: int = 4) -> DataFrame:
+    """(doc, tok): asked tokens within a run of ``parsed`` that together is a word of the source."""
+    of = F.filter("runs", lambda r: F.arrays_overlap(r["parts"], F.col("asked")))
+    found = _runs(parsed, longest).join(asked, "doc").select("doc", F.explode(of).alias("r"))
+    found = found.select("doc", F.col("r.whole").alias("tok"), "r.parts")
+    held = found.join(source.select("doc", "tok").distinct(), ["doc", "tok"], "left_semi")
+    return held.select("doc", F.explode("parts").alias("tok")).distinct()
 
 
 def lost(source: DataFrame, parsed: DataFrame, ignore: DataFrame | None = None) -> DataFrame:
@@ -63,34 +92,25 @@ def lost(source: DataFrame, parsed: DataFrame, ignore: DataFrame | None = None)
     gone = minus(_counted(source), _counted(parsed)).where(~F.col("tok").rlike("^[0-9]+$") & (F.length("tok") > 2))
     if ignore is not None:
         gone = gone.join(ignore.select("doc", "tok").distinct(), ["doc", "tok"], "left_anti")
-    gone = gone.join(joined_runs(parsed).select("doc", "tok").distinct(), ["doc", "tok"], "left_anti")
-    return gone.join(split_parts(parsed, source), ["doc", "tok"], "left_anti")
+    asked = _asked(gone)
+    known = _written_together(parsed, asked).unionByName(_taken_apart(parsed, source, asked))
+    return gone.join(known, ["doc", "tok"], "left_anti")
 
 
 def invented(source: DataFrame, parsed: DataFrame) -> DataFrame:
     """Tokens of the parse that are no word, run of words, part of a run or fragment of the source."""
-    made = _counted(parsed).join(_counted(source).select("doc", "tok"), ["doc", "tok"], "left_anti")
-    made = made.join(joined_runs(source).select("doc", "tok").distinct(), ["doc", "tok"], "left_anti")
-    made = made.join(split_parts(source, parsed), ["doc", "tok"], "left_anti")
-    return made.join(fragments(source), ["doc", "tok"], "left_anti")
+    words = source.select("doc", "tok").distinct()
+    made = _counted(parsed).join(words, ["doc", "tok"], "left_anti")
+    asked = _asked(made)
+    known = _written_together(source, asked).unionByName(_taken_apart(source, parsed, asked))
+    pieces = F.array_intersect(_pieces(3), F.col("asked"))
+    broken = words.where(F.length("tok") >= 5).join(asked, "doc").select("doc", F.explode(pieces).alias("tok"))
+    return made.join(known.unionByName(broken), ["doc", "tok"], "left_anti")
 
 
 def split_parts(source: DataFrame, parsed: DataFrame, longest: int = 4) -> DataFrame:
     """(doc, tok): parsed tokens within a run that together is a word of the source."""
-    order = Window.partitionBy("doc").orderBy("k")
-    wide = parsed.select("doc", "tok", *[F.lead("tok", i).over(order).alias(f"a{i}") for i in range(1, longest)])
-    runs = F.array(
-        *[
-            F.when(
-                F.col(f"a{i}").isNotNull(),
-                F.struct(F.concat("tok", *[f"a{j}" for j in range(1, i + 1)]).alias("whole"), F.array("tok", *[f"a{j}" for j in range(1, i + 1)]).alias("parts")),
-            )
-            for i in range(1, longest)
-        ]
-    )
-    found = wide.select("doc", F.explode(F.filter(runs, lambda r: r.isNotNull())).alias("r")).select("doc", F.col("r.whole").alias("tok"), "r.parts")
-    held = found.join(_counted(source).select("doc", "tok"), ["doc", "tok"], "left_semi")
-    return held.select("doc", F.explode("parts").alias("tok")).distinct()
+    return _taken_apart(source, parsed, _asked(parsed), longest)
 
 
 def _counted(tokens: DataFrame) -> DataFrame:

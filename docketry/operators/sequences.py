@@ -199,7 +199,9 @@ def confirmed_numbers(candidates: pd.DataFrame, band: int, reach: int = 3) -> li
             or bool(verbs[i])
         )
         if ok:
-            live = {x for x in live if not 0 < n - x <= reach} | {n}
+            # Of the running numbers in reach the nearest is continued, the others run on.
+            live.discard(max((x for x in live if 0 < n - x <= reach), default=n))
+            live.add(n)
         out.append(ok)
     return out
 

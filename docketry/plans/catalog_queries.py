@@ -407,50 +407,53 @@ def catalog_dates(spark: SparkSession, d: str) -> DataFrame:
 # ---- bags -----------------------------------------------------------------------------
 
 
-def _two_versions(spark: SparkSession, d: str, which: str = "true") -> tuple[DataFrame, DataFrame]:
+def _two_versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The texts, and a damaged copy: every seventh line lost, a word added to each document."""
-    rows = parse.lines_as_rows(table(spark, d, "documents").where(which))
+    rows = parse.lines_as_rows(table(spark, d, "documents"))
     kept = rows.where("position % 7 <> 6").select("doc", "position", "text")
     more = rows.where("position = 0").select("doc", F.lit(-1).alias("position"), F.lit("fabricatedword").alias("text"))
     return bags.token_rows(rows, "doc", "position", "text"), bags.token_rows(kept.unionByName(more), "doc", "position", "text")
 
 
-def _difference(source: DataFrame, parsed: DataFrame) -> DataFrame:
-    counted = lambda t: t.groupBy("doc", "tok").agg(F.count("*").alias("n"))
-    return bags.minus(counted(source), counted(parsed))
-
-
-#: The documents that the SQL below reads; conservation_gate and the queries named _all read every document.
-ENGLISH = "lang = 'en'"
-BAGS = """r0 AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS t FROM documents WHERE lang = 'en'),
+BAGS = """r0 AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS t FROM documents),
     r1 AS (SELECT doc, unnest(range(0, len(t))) AS position, unnest(t) AS text FROM r0),
     glued AS (SELECT doc, position, regexp_extract_all(regexp_replace(lower(text), '[-‐‑‒–­''’‘`]', '', 'g'), '[a-z0-9]+') AS k FROM r1),
-    a AS (SELECT doc, tok, count(*) AS n FROM (SELECT doc, unnest(k) AS tok FROM glued) GROUP BY ALL),
-    b AS (SELECT doc, tok, count(*) AS n FROM (SELECT doc, unnest(k) AS tok FROM glued WHERE position % 7 <> 6 UNION ALL SELECT doc, 'fabricatedword' FROM glued WHERE position = 0) GROUP BY ALL)"""
+    g AS (SELECT doc, position, unnest(k) AS tok, unnest(range(0, len(k))) AS q FROM glued),
+    h AS (SELECT doc, position, tok, q FROM g WHERE position % 7 <> 6 UNION ALL SELECT doc, -1, 'fabricatedword', 0 FROM glued WHERE position = 0),
+    a AS (SELECT doc, tok, count(*) AS n FROM g GROUP BY ALL), b AS (SELECT doc, tok, count(*) AS n FROM h GROUP BY ALL)"""
+#: Runs of two to four neighbouring tokens of the texts (ra) and of the copy (rb), together and apart.
+RUNS = ", ".join(
+    f"""w{s} AS (SELECT doc, tok, lead(tok) OVER w AS t1, lead(tok, 2) OVER w AS t2, lead(tok, 3) OVER w AS t3 FROM {t} WINDOW w AS (PARTITION BY doc ORDER BY position, q)),
+    r{s} AS (SELECT doc, tok || t1 AS whole, [tok, t1] AS parts FROM w{s} WHERE t1 IS NOT NULL UNION ALL SELECT doc, tok || t1 || t2, [tok, t1, t2] FROM w{s} WHERE t2 IS NOT NULL
+        UNION ALL SELECT doc, tok || t1 || t2 || t3, [tok, t1, t2, t3] FROM w{s} WHERE t3 IS NOT NULL)"""
+    for s, t in (("a", "g"), ("b", "h"))
+)
+INVENTED = f"""{RUNS}, long AS (SELECT doc, tok, unnest(range(3, length(tok))) AS c FROM a WHERE length(tok) >= 5),
+    known AS (SELECT doc, tok FROM a UNION SELECT doc, whole FROM ra UNION SELECT doc, unnest(parts) FROM rb SEMI JOIN a ON rb.doc = a.doc AND whole = a.tok
+        UNION SELECT doc, left(tok, c) FROM long UNION SELECT doc, right(tok, c) FROM long),
+    made AS (SELECT b.doc, b.tok, b.n FROM b ANTI JOIN known ON known.doc = b.doc AND known.tok = b.tok)"""
 
 
 @query(f"WITH {BAGS} SELECT a.doc, a.tok, a.n - coalesce(b.n, 0) AS n FROM a LEFT JOIN b ON a.doc = b.doc AND a.tok = b.tok WHERE a.n - coalesce(b.n, 0) > 0")
 def bag_difference(spark: SparkSession, d: str) -> DataFrame:
-    return _difference(*_two_versions(spark, d, ENGLISH))
-
-
-@query()
-def bag_difference_all(spark: SparkSession, d: str) -> DataFrame:
-    return _difference(*_two_versions(spark, d))
+    counted = lambda t: t.groupBy("doc", "tok").agg(F.count("*").alias("n"))
+    source, parsed = _two_versions(spark, d)
+    return bags.minus(counted(source), counted(parsed))
 
 
-@query(f"WITH {BAGS} SELECT DISTINCT doc, 'fabricatedword' AS tok FROM a")
+@query(f"WITH {BAGS}, {INVENTED} SELECT doc, tok, n FROM made")
 def invented_words(spark: SparkSession, d: str) -> DataFrame:
-    source, parsed = _two_versions(spark, d, ENGLISH)
-    return bags.invented(source, parsed).select("doc", "tok")
-
-
-@query()
-def invented_words_all(spark: SparkSession, d: str) -> DataFrame:
     return bags.invented(*_two_versions(spark, d))
 
 
-@query()
+@query(f"""WITH {BAGS}, {INVENTED}, found AS (SELECT doc, whole AS tok FROM rb UNION SELECT doc, unnest(parts) FROM ra SEMI JOIN b ON ra.doc = b.doc AND whole = b.tok),
+    gone AS (SELECT a.doc, a.tok, a.n - coalesce(b.n, 0) AS n FROM a LEFT JOIN b ON a.doc = b.doc AND a.tok = b.tok
+        WHERE a.n - coalesce(b.n, 0) > 0 AND NOT regexp_full_match(a.tok, '[0-9]+') AND length(a.tok) > 2),
+    lost AS (SELECT doc, sum(n) AS n FROM gone ANTI JOIN found ON found.doc = gone.doc AND found.tok = gone.tok GROUP BY doc),
+    c AS (SELECT t.doc, t.words, CAST(coalesce(lost.n, 0) AS BIGINT) AS lost, CAST(coalesce(m.n, 0) AS BIGINT) AS invented
+        FROM (SELECT doc, CAST(sum(n) AS BIGINT) AS words FROM a GROUP BY doc) t LEFT JOIN lost ON lost.doc = t.doc LEFT JOIN (SELECT doc, sum(n) AS n FROM made GROUP BY doc) m ON m.doc = t.doc)
+    SELECT doc, words, lost, invented, round(100.0 * (words - lost) / words, 3) AS kept_pct,
+        CASE WHEN lost <= 5 AND round(100.0 * (words - lost) / words, 3) >= 95 AND invented = 0 THEN 'pass' ELSE 'fail' END AS verdict FROM c""")
 def conservation_gate(spark: SparkSession, d: str) -> DataFrame:
     return bags.conservation(*_two_versions(spark, d))
 
@@ -544,7 +547,16 @@ def numbering_gaps(spark: SparkSession, d: str) -> DataFrame:
     return sequences.numbering_gaps(rows)
 
 
-@query()
+@query(f"""WITH RECURSIVE {N}, c AS (SELECT doc, CAST(position AS INTEGER) AS position, CAST(position + CASE WHEN k % 6 = 0 THEN 40 ELSE 0 END AS INTEGER) AS number,
+        row_number() OVER (PARTITION BY doc ORDER BY position) AS i FROM n),
+    l AS (SELECT *, lead(number) OVER w AS a1, lead(number, 2) OVER w AS a2, lead(number, 3) OVER w AS a3 FROM c WINDOW w AS (PARTITION BY doc ORDER BY i)),
+    s AS (SELECT doc, 0::BIGINT AS i, 0 AS position, 0 AS number, false AS confirmed, []::INTEGER[] AS live FROM l GROUP BY doc
+        UNION ALL SELECT doc, i, position, number, ok, CASE WHEN ok THEN list_distinct(list_append(list_filter(live, lambda x: x <> coalesce(near, -1)), number)) ELSE live END FROM (
+            SELECT doc, i, position, number, live, near, number <= 23 AND (number = 1 OR near IS NOT NULL OR coalesce(number + 1 = a1 OR number + 1 = a2, false) OR coalesce(number + 1 = a2, false)
+                OR coalesce(number + 1 = a1, false) OR coalesce(number + 1 = a3, false)) AS ok FROM (
+            SELECT l.doc, l.i, l.position, l.number, l.a1, l.a2, l.a3, CASE WHEN l.position = 1 THEN [] ELSE s.live END AS live,
+                list_max(list_filter(CASE WHEN l.position = 1 THEN [] ELSE s.live END, lambda x: l.number - x BETWEEN 1 AND 3)) AS near FROM s JOIN l ON l.doc = s.doc AND l.i = s.i + 1)))
+    SELECT doc, position, number, confirmed FROM s WHERE i > 0""")
 def op_number_confirm(spark: SparkSession, d: str) -> DataFrame:
     rows = clauses(spark, d).select(
         "doc", "position", (F.col("position") + (F.col("k") % 6 == 0).cast("int") * 40).alias("number"),
@@ -617,9 +629,9 @@ def _findings(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH f AS (SELECT doc_id AS doc, 'low' AS c FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 'toxic' FROM labels WHERE toxic = 1)
-    SELECT doc, count(DISTINCT c) AS checks, coalesce(max(n_chars), 0) AS citations FROM f LEFT JOIN documents ON doc_id = doc AND lang = 'en' GROUP BY doc""")
+    SELECT doc, count(DISTINCT c) AS checks, coalesce(max(n_chars), 0) AS citations FROM f LEFT JOIN documents ON doc_id = doc GROUP BY doc""")
 def worst_first(spark: SparkSession, d: str) -> DataFrame:
-    weights = table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("doc"), F.col("n_chars").alias("citations"))
+    weights = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.col("n_chars").alias("citations"))
     return audits.worst_first(_findings(spark, d), weights)
 
 
