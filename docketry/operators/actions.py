@@ -141,15 +141,20 @@ def annotate(elements: DataFrame) -> DataFrame:
     """Elements with ``action``: own verb, or that of the clause that governs them.
 
     ``elements``: doc, position, text, paragraph_type, level, prefix.  The governing clause is
-    the latest that ends in a colon; a clause of the top level without one ends its reach.
+    the latest with a verb that ends in a colon; a clause of the top level without a colon ends its reach.
     """
     kind = F.col("paragraph_type")
     labelled = kind.isin("operative", "preambular")
     rows = describe(elements, out="__own").withColumn("__own", F.when(labelled, F.col("__own")))
     colon = labelled & squeeze(F.col("text")).endswith(":")
     rows = rows.withColumn("__gov", governing(F.col("text")))
-    lead = F.when(colon, F.struct(F.coalesce("__gov", "__own").alias("a"))).when(
-        labelled & (F.coalesce("level", F.lit(0)) <= 1), F.struct(F.lit(None).cast(ACTION).alias("a"))
+    top = F.coalesce("level", F.when(kind == "operative", 1).otherwise(0)) <= 1
+    ends = labelled & top & ~colon
+    # A list opened without a verb of its own leaves the clause above it in force.
+    lead = (
+        F.when(labelled & F.col("__gov").isNotNull(), F.struct(F.col("__gov").alias("a")))
+        .when(colon & F.col("__own")["lemma"].isNotNull(), F.struct(F.col("__own").alias("a")))
+        .when(ends, F.struct(F.lit(None).cast(ACTION).alias("a")))
     )
     rows = rows.withColumn("__lead", lead)
     before = carried(F.col("__lead"), so_far().rowsBetween(-(1 << 31), -1))["a"]
@@ -157,7 +162,9 @@ def annotate(elements: DataFrame) -> DataFrame:
     given = before.withField("inherited", F.lit(True))
     rows = rows.withColumn("__before", F.when(before.isNotNull(), given))
     action = (
-        F.when(F.col("__own").isNotNull(), F.col("__own")).when(colon, F.col("__gov")).when(labelled & item, F.col("__before"))
+        F.when(F.col("__own").isNotNull(), F.col("__own"))
+        .when(labelled & F.col("__gov").isNotNull(), F.col("__gov"))
+        .when(labelled & item & ~ends, F.col("__before"))
     )
     return rows.withColumn("action", action).drop("__own", "__gov", "__lead", "__before")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,15 @@ def last_per_key(batch: DataFrame, keys: list[str], order: list[Column]) -> Data
     return batch.withColumn("__n", n).where("__n = 1").drop("__n")
 
 
-def upsert(table: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """All columns of the batch's rows replace those of equal key."""
-    return table.join(batch.select(*keys), keys, "left_anti").unionByName(batch.select(*table.columns))
+def upsert(table: DataFrame, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """All columns of the batch's rows replace those of equal key.
+
+    Of several rows of a key in the batch the last counts: the first by ``order``, or, without
+    one, the row that is greatest column by column.
+    """
+    order = order or [F.desc_nulls_last(c) for c in table.columns if c not in keys] or [F.lit(0)]
+    once = last_per_key(batch, keys, order)
+    return table.join(once.select(*keys), keys, "left_anti").unionByName(once.select(*table.columns))
 
 
 def partial_upsert(table: DataFrame, batch: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -96,20 +102,43 @@ def unseen_content(rows: DataFrame, done: DataFrame, key: str = "symbol", digest
     return rows.join(done.select(key, digest).distinct(), [key, digest], "left_anti")
 
 
+def _store(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = lambda suffix="": jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + suffix)
+    return at().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder, or None; a swap that was broken off is finished first.
+
+    A broken swap leaves no table but the old one beside a complete new one: the
+    new one takes its place, or, where it is not complete, the old one again.
+    """
+    store, at = _store(spark, path)
+    if not store.exists(at()):
+        if store.exists(at(".old")) and store.exists(at(".next/_SUCCESS")):
+            store.rename(at(".next"), at())
+        elif store.exists(at(".old")):
+            store.rename(at(".old"), at())
+        else:
+            return None
+    return spark.read.parquet(path)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Write beside the old table, then swap the folders in the same store.
 
-    One writer at a time; readers see the old or the new table.
+    One writer at a time.  Between the two renames there is no table under the name; the old and
+    the new one both stand beside it, and :func:`stored` (which every writer calls first) puts one
+    of them in place, so no interruption loses rows.
     """
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    part = f"{path.rstrip('/')}.next"
-    df.write.mode("overwrite").parquet(part)
-    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(part)
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old")
-    store.delete(old, True)
-    if store.exists(target):
-        store.rename(target, old)
-    store.rename(fresh, target)
-    store.delete(old, True)
+    stored(spark, path)
+    store, at = _store(spark, path)
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}.next")
+    store.delete(at(".old"), True)
+    if store.exists(at()):
+        store.rename(at(), at(".old"))
+    if not store.rename(at(".next"), at()):
+        raise OSError(f"could not swap {path}")
+    store.delete(at(".old"), True)

@@ -251,8 +251,10 @@ def bracket_collapse(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey % 7 = 0""")
 def upsert_last_write_wins(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    batch = c.where("c_custkey % 7 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    return upserts.upsert(c.where("c_custkey % 5 <> 0"), batch, ["c_custkey"])
+    # Every key of the batch comes three times; the version with the greatest balance is the last.
+    batch = c.where("c_custkey % 7 = 0").withColumn("version", F.explode(F.array(F.lit(-1), F.lit(1), F.lit(0))))
+    batch = batch.withColumn("c_acctbal", F.col("c_acctbal") + F.col("version"))
+    return upserts.upsert(c.where("c_custkey % 5 <> 0"), batch, ["c_custkey"], [F.desc("version")])
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS c_name, c_acctbal FROM customer""")

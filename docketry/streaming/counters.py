@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docketry.operators.upserts import replace_table, upsert
+from docketry.operators.upserts import last_per_key, replace_table, stored, upsert
 
 
 def minute_counts(events: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -33,12 +33,7 @@ def upsert_stream(
 
     def write(batch: DataFrame, _: int) -> None:
         rows = transform(batch) if transform else batch
-        n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        once = rows.withColumn("__n", n).where("__n = 1").drop("__n")
-        spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        replace_table(upsert(spark.read.parquet(target), once, keys) if there else once, target)
+        old = stored(batch.sparkSession, target)
+        replace_table(last_per_key(rows, keys, order) if old is None else upsert(old, rows, keys, order), target)
 
     return batches.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

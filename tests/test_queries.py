@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from docketry.plans import catalog_queries as cq
+from docketry.plans import operator_queries as cq
 
 
 def shown(v):
