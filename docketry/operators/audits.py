@@ -44,6 +44,23 @@ def display_coverage(elements: DataFrame, ledger: DataFrame, threshold: float =
     )
 
 
+def display_sums(elements: DataFrame) -> DataFrame:
+    """Six sums a document: words shown and all words, of the whole, of the main text and of the annexes."""
+    n = word_count(F.col("text"))
+    annex = F.coalesce(F.col("section") == "annex", F.lit(False))
+    part = lambda which, name: [
+        F.sum(F.when(which & F.coalesce(shown(), F.lit(False)), n).otherwise(0)).alias(f"{name}visible"), F.sum(F.when(which, n).otherwise(0)).alias(f"{name}total")
+    ]
+    kept = elements.where(~F.coalesce(boilerplate(), F.lit(False)))
+    return kept.groupBy("doc").agg(*part(F.lit(True), ""), *part(~annex, "main_"), *part(annex, "annex_"))
+
+
+def annex_gaps(elements: DataFrame) -> DataFrame:
+    """(doc, highest, annexes): documents whose annex numbers do not run from 1 without a gap."""
+    annex = elements.where("section = 'annex'").groupBy("doc")
+    return annex.agg(F.max("annex_index").alias("highest"), F.count_distinct("annex_index").alias("annexes")).where("highest <> annexes")
+
+
 def bare_headings(elements: DataFrame) -> DataFrame:
     """Headings that are only a marker; worse where a title-like row follows."""
     some = elements.where(F.trim("text") != "")

@@ -147,6 +147,37 @@ def foreign_elements(elements: DataFrame, source: DataFrame, region: DataFrame,
     return counts.select("doc", "position", verdict.alias("verdict")).where("verdict IS NOT NULL")
 
 
+def crop_split(gone: DataFrame, outside: DataFrame) -> DataFrame:
+    """(doc, tok, n, cropped): lost tokens, and whether the source has them outside the document's region as well."""
+    beyond = outside.select("doc", "tok").distinct().withColumn("__o", F.lit(True))
+    return gone.join(beyond, ["doc", "tok"], "left").select("doc", "tok", "n", F.coalesce("__o", F.lit(False)).alias("cropped"))
+
+
+def word_accounting(raw: DataFrame, *used: DataFrame) -> DataFrame:
+    """(doc, tok, n): words of the rows that no element, label, note or dropped row accounts for.
+
+    All bags: (doc, tok, n).
+    """
+    every = used[0]
+    for more in used[1:]:
+        every = every.unionByName(more)
+    return minus(raw, every.groupBy("doc", "tok").agg(F.sum("n").alias("n")))
+
+
+def child_conservation(child: DataFrame, slice_: DataFrame, sibling: DataFrame) -> DataFrame:
+    """(doc, lost, extra, verdict): types a child lacks and has beyond its slice; of two copies it must not be the shorter.
+
+    ``child``, ``slice_``, ``sibling``: (doc, tok, n); a child without a sibling is only held against its slice.
+    """
+    types = lambda b, name: b.select("doc", "tok").distinct().withColumn(name, F.lit(True))
+    both = types(child, "c").join(types(slice_, "s"), ["doc", "tok"], "full_outer")
+    apart = both.groupBy("doc").agg(F.count_if(F.col("c").isNull()).alias("lost"), F.count_if(F.col("s").isNull()).alias("extra"))
+    size = lambda b, name: b.groupBy("doc").agg(F.sum("n").alias(name))
+    rows = apart.join(size(child, "own"), "doc", "left").join(size(sibling, "other"), "doc", "left")
+    good = (F.col("lost") == 0) & (F.col("extra") == 0) & (F.coalesce("own", F.lit(0)) >= F.coalesce("other", F.lit(0)))
+    return rows.select("doc", "lost", "extra", F.when(good, "pass").otherwise("fail").alias("verdict"))
+
+
 def position_accounting(raw: DataFrame, elements: DataFrame, dropped: DataFrame) -> DataFrame:
     """(doc, position, problem): rows used twice, not at all, or that never were.
 

@@ -125,6 +125,41 @@ def by_symbol(docs: DataFrame, symbol: str, id_col: str = "recid") -> DataFrame:
     )
 
 
+def by_pattern(docs: DataFrame, q: str) -> DataFrame:
+    """The rows whose symbol is ``q`` whatever its case; per cent and underscore in ``q`` are wildcards, none is added."""
+    return live(docs).where(F.col("symbol").ilike(q))
+
+
+# The columns of the list and of the detail view, the symbol under its short name.
+SUMMARY = ("recid", "symbol", "title", "date_publication", "un_body", "resource_type", "languages", "summary")
+DETAIL = (
+    "recid", "symbol", "symbol_body", "symbol_session", "symbol_committee", "title", "title_statement", "date_publication", "date_text", "publisher",
+    "pub_place", "physical_desc", "doc_class_code", "doc_class_desc", "languages", "subjects", "corporate_authors", "un_body", "un_committee", "notes",
+    "summary", "files", "collections", "resource_type", "resource_subtype", "vote_summary", "agenda_items", "related_documents", "harvested_at",
+)
+
+
+def projected(records: DataFrame, names: tuple[str, ...] = SUMMARY) -> DataFrame:
+    """Catalogue records (see ``sources.marc.parse``) in a view's columns; a column they lack is null."""
+    have = {"symbol": "document_symbol"}
+    return live(records).select(
+        *[F.col(have.get(c, c)).alias(c) if have.get(c, c) in records.columns else F.lit(None).cast("timestamp").alias(c) for c in names]
+    )
+
+
+def latest_id(docs: DataFrame, id_col: str = "recid") -> DataFrame:
+    """One row: the largest id, 0 of an empty catalogue."""
+    return docs.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("latest"))
+
+
+def validation(docs: DataFrame, top: int = 10) -> DataFrame:
+    """(measure, n): rows in all, rows not deleted, and the largest bodies."""
+    total = docs.agg(F.lit("total").alias("measure"), F.count("*").alias("n"))
+    alive = live(docs).agg(F.lit("active").alias("measure"), F.count("*").alias("n"))
+    bodies = live(docs).where("body IS NOT NULL").groupBy(F.concat(F.lit("body "), "body").alias("measure")).agg(F.count("*").alias("n"))
+    return total.unionByName(alive).unionByName(bodies.orderBy(F.desc("n"), "measure").limit(top))
+
+
 def by_id(docs: DataFrame, recid: int, id_col: str = "recid") -> DataFrame:
     return live(docs).where(F.col(id_col) == recid)
 
@@ -163,9 +198,11 @@ def facets(docs: DataFrame, filters: Filters, limits: dict[str, int] | None = No
     return counts.withColumn("__r", rank).where((F.col("__r") <= max(limits.values())) & (F.col("__r") <= cap)).drop("__r")
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """Size, date range and numbers of bodies and kinds of the catalogue."""
+def statistics(docs: DataFrame, harvested: str | None = None) -> DataFrame:
+    """Size, date range and numbers of bodies and kinds of the catalogue, and the latest harvest where a column tells it."""
+    more = [F.max(harvested).alias("last_harvested")] if harvested else []
     return live(docs).agg(
+        *more,
         F.count("*").alias("documents"), F.min("published").alias("first_date"), F.max("published").alias("last_date"),
         F.count_distinct("body").alias("bodies"), F.count_distinct("kind").alias("kinds"),
     )

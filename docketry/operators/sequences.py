@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docketry.functions.text import roman_value
+
 
 def by_doc(doc: str = "doc", position: str = "position"):
     return Window.partitionBy(doc).orderBy(position)
@@ -206,6 +208,32 @@ def confirmed_numbers(candidates: pd.DataFrame, band: int, reach: int = 3) -> li
     return out
 
 
+def confirmed_romans(values: list[int], reach: int = 3) -> list[bool]:
+    """Which of a document's upper-case Roman parentheses are markers, not the tails of torn citations.
+
+    One is that goes on from the last marker, or that one of the next ``reach`` candidates goes on from.
+    """
+    out, last = [], None
+    for i, v in enumerate(values):
+        ok = (last is not None and v == last + 1) or v + 1 in values[i + 1 : i + 1 + reach]
+        last = v if ok else last
+        out.append(ok)
+    return out
+
+
+def confirm_romans(rows: DataFrame, reach: int = 3) -> DataFrame:
+    """Rows (doc, position, text) whose text starts with an upper-case Roman parenthesis, with ``confirmed``."""
+    marker = F.regexp_extract("text", r"^\(([IVXLCDM]+)\)\s", 1)
+    found = rows.where(marker != "").select("doc", "position", "text", roman_value(marker).alias("value"))
+    kind = rows.schema["doc"].dataType.simpleString()
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("position", kind="stable")
+        return group.assign(confirmed=confirmed_romans(group["value"].tolist(), reach))
+
+    return found.groupBy("doc").applyInPandas(run, f"doc {kind}, position int, text string, value int, confirmed boolean")
+
+
 def confirm_numbers(rows: DataFrame, reach: int = 3) -> DataFrame:
     """Rows (doc, position, number, verb, reset, body_rows) with ``confirmed``.
 

@@ -72,3 +72,15 @@ def key_owners(keys: DataFrame, users: DataFrame) -> DataFrame:
 
 def usable_tokens(tokens: DataFrame, now: datetime) -> DataFrame:
     return tokens.where(F.col("used_at").isNull() & (F.col("expires_at") > F.lit(now)))
+
+
+def consumed(tokens: DataFrame, requests: DataFrame, now: datetime) -> DataFrame:
+    """(request_id, token_id, granted): each usable token serves the first request for it alone.
+
+    ``tokens``: token_id, used_at, expires_at.  ``requests``: request_id, token_id, at.  The
+    caller marks the granted tokens as used in the same write (``upserts.advance``).
+    """
+    usable = usable_tokens(tokens, now).select("token_id").distinct().withColumn("__u", F.lit(True))
+    turn = F.row_number().over(Window.partitionBy("token_id").orderBy("at", "request_id"))
+    asked = requests.withColumn("__turn", turn).join(usable, "token_id", "left")
+    return asked.select("request_id", "token_id", (F.coalesce("__u", F.lit(False)) & (F.col("__turn") == 1)).alias("granted"))

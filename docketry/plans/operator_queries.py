@@ -331,6 +331,43 @@ planted(
     "child text", [("b", "1/1. First"), ("c", None)],
 )
 
+planted(
+    "roman_markers",
+    lambda rows: sequences.confirm_romans(rows(numbered(["(I) First", "(II) Second", "(IX) of 11 December 1954", "(III) Third", "(a) other", "(XX) of 1965", "text"]), "position int, text string")),
+    "position value confirmed", [(0, 1, True), (1, 2, True), (2, 9, False), (3, 3, True), (5, 20, False)],
+)
+planted(
+    "parse_roman_items",
+    lambda rows: parse.elements(_parsed(rows, ["The General Assembly,", "1. Decides to act under:", "(I) its rules;", "(II) its plans, and resolution 900", "(IX) of 11 December 1954;"])).where("prefix IS NOT NULL"),
+    "position prefix level", [(1, "1.", 1), (2, "(I)", 2), (3, "(II)", 2)],
+)
+planted(
+    "annex_gaps", lambda rows: audits.annex_gaps(rows([(i, s, n) for i, (s, n) in enumerate([("main", None), ("annex", 1), ("annex", 1), ("annex", 3)])], "position int, section string, annex_index int")),
+    "highest annexes", [(3, 2)],
+)
+planted(
+    "display_sums",
+    lambda rows: audits.display_sums(
+        rows([_part(0, "heading", "One two"), _part(1, "paragraph", "three four five"), _part(2, "paragraph", "six", "operative"), (3, "paragraph", None, "annex", 1, "operative", 1, None, "a b", [3]), (4, "divider", None, "annex", 1, None, 1, None, "___", [4])], STRUCTURE)
+    ),
+    "visible total main_visible main_total annex_visible annex_total", [(5, 8, 3, 6, 2, 2)],
+)
+planted(
+    "cropped_losses",
+    lambda rows: bags.crop_split(rows([("peace", 2), ("budget", 1)], "tok string, n int"), rows([("budget",), ("other",)], "tok string")),
+    "tok n cropped", [("peace", 2, False), ("budget", 1, True)],
+)
+planted(
+    "word_accounting",
+    lambda rows: bags.word_accounting(rows([("a", 3), ("b", 1), ("c", 2)], "tok string, n bigint"), rows([("a", 2)], "tok string, n bigint"), rows([("b", 4), ("c", 1), ("a", 1)], "tok string, n bigint")),
+    "tok n", [("c", 1)],
+)
+planted(
+    "child_conservation",
+    lambda rows: bags.child_conservation(rows([("a", 1), ("b", 1), ("x", 1)], "tok string, n int"), rows([("a", 2), ("b", 1), ("c", 1)], "tok string, n int"), rows([("a", 9)], "tok string, n int")),
+    "lost extra verdict", [(1, 1, "fail")],
+)
+
 
 # ---- single queries ------------------------------------------------------------------------
 
@@ -449,3 +486,60 @@ def verb_evaluation(spark: SparkSession, d: str) -> DataFrame:
     UNION ALL SELECT 'S/INF/' || y, 'year', CAST(y AS INTEGER) FROM range(2003, 2026) t(y)""")
 def volume_catalog(spark: SparkSession, d: str) -> DataFrame:
     return pages.volume_catalog(spark).select("symbol", "kind", "session")
+
+
+def _marc(spark: SparkSession, d: str) -> DataFrame:
+    record = F.replace(F.lit(MARC), F.lit("{id}"), F.col("c_custkey").cast("string"))
+    return marc.parse(table(spark, d, "customer").select(record.alias("xml")))
+
+
+@query("""SELECT CAST(c_custkey AS INTEGER) AS recid, 'a/res/' || c_custkey AS symbol, 'Peace resolution' AS title, DATE '1999-12-05' AS date_publication, CAST(NULL AS VARCHAR) AS un_body,
+    CAST(NULL AS VARCHAR) AS resource_type, 'eng,fre' AS languages, CAST(NULL AS VARCHAR) AS summary FROM customer""")
+def summary_view(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.projected(_marc(spark, d)).withColumn("languages", F.array_join("languages", ","))
+
+
+@query("""SELECT CAST(c_custkey AS INTEGER) AS recid, 29 AS columns, 'eng,fre' AS languages, 2 AS files, CAST(NULL AS TIMESTAMP) AS harvested_at FROM customer""")
+def detail_view(spark: SparkSession, d: str) -> DataFrame:
+    view = catalog.projected(_marc(spark, d), catalog.DETAIL)
+    return view.select("recid", F.lit(len(view.columns)).alias("columns"), F.array_join("languages", ",").alias("languages"), F.size("files").alias("files"), F.col("harvested_at").cast("timestamp_ntz").alias("harvested_at"))
+
+
+@query("""SELECT doc_id AS recid FROM documents WHERE doc_id % 50 <> 49 AND (source || '/RES/' || doc_id) ILIKE 'SRC%/res/1_'""")
+def symbol_lookup(spark: SparkSession, d: str) -> DataFrame:
+    from docketry.plans.catalog_queries import records
+
+    return catalog.by_pattern(records(spark, d), "SRC%/res/1_").select("recid")
+
+
+@query("SELECT coalesce(max(doc_id), 0) AS latest FROM documents")
+def latest_id(spark: SparkSession, d: str) -> DataFrame:
+    from docketry.plans.catalog_queries import records
+
+    return catalog.latest_id(records(spark, d))
+
+
+@query("""WITH c AS (SELECT * FROM documents WHERE doc_id % 50 <> 49), b AS (SELECT 'body ' || source AS measure, count(*) AS n FROM c WHERE source IS NOT NULL GROUP BY ALL ORDER BY n DESC, measure LIMIT 10)
+    SELECT 'total' AS measure, count(*) AS n FROM documents UNION ALL SELECT 'active', count(*) FROM c UNION ALL SELECT measure, n FROM b""")
+def catalogue_validation(spark: SparkSession, d: str) -> DataFrame:
+    from docketry.plans.catalog_queries import records
+
+    return catalog.validation(records(spark, d))
+
+
+@query("""SELECT count(*) AS documents, min(p) AS first_date, max(p) AS last_date, count(DISTINCT source) AS bodies, count(DISTINCT lang) AS kinds, max(TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 30 AS INTEGER))) AS last_harvested
+    FROM (SELECT *, DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS p FROM documents WHERE doc_id % 50 <> 49)""")
+def harvest_stats(spark: SparkSession, d: str) -> DataFrame:
+    from docketry.plans.catalog_queries import records
+
+    rows = records(spark, d).withColumn("harvested_at", F.date_add(F.lit(date(2024, 1, 1)), (F.col("recid") % 30).cast("int")).cast("timestamp_ntz"))
+    return catalog.statistics(rows, "harvested_at")
+
+
+@query("""SELECT event_id AS request_id, user_id AS token_id, user_id % 3 <> 0 AND row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1 AS granted FROM events""")
+def consumed_tokens(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    tokens = e.select(F.col("user_id").alias("token_id")).distinct().select(
+        "token_id", F.when(F.col("token_id") % 3 == 0, F.lit(datetime(2024, 1, 1))).alias("used_at"), F.lit(datetime(2025, 1, 1)).alias("expires_at")
+    )
+    return usage.consumed(tokens, e.select(F.col("event_id").alias("request_id"), F.col("user_id").alias("token_id"), F.col("ts").alias("at")), datetime(2024, 6, 1))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions import lexicon as lx
-from docketry.operators.sequences import confirmed_numbers, paren_levels
+from docketry.operators.sequences import confirmed_numbers, confirmed_romans, paren_levels
 from docketry.session import ship_package
 
 VERSION = "parse-1"
@@ -59,6 +59,11 @@ def tidy(text: str | None) -> str:
     return re.sub(r"\s+", " ", (text or "").replace("\xa0", " ")).strip()
 
 
+def roman(numeral: str) -> int:
+    worth = [{"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}[c] for c in numeral]
+    return sum(-v if v < after else v for v, after in zip(worth, [*worth[1:], 0], strict=True))
+
+
 @dataclass
 class Row:
     position: int
@@ -70,6 +75,7 @@ class Row:
     number: int | None = None
     confirmed: bool = False
     dotted: bool = False
+    tail: bool = False
 
 
 @dataclass
@@ -138,6 +144,12 @@ class Parse:
             for (r, _, _), ok in zip(marked, confirmed_numbers(frame, max(sum(v for _, v, _ in marked), body) + 3), strict=True):
                 r.confirmed = ok
 
+    def mark_romans(self) -> None:
+        """Upper-case Roman parentheses that no sequence confirms are the tails of torn citations."""
+        found = [(r, m[1]) for r in self.rows if r.kind == "paragraph" and (m := PAREN.match(r.text)) and re.fullmatch("[IVXLCDM]+", m[1])]
+        for (r, _), ok in zip(found, confirmed_romans([roman(m) for _, m in found]), strict=True):
+            r.tail = not ok
+
     def mark_dotted(self) -> None:
         """Chains of three or more from minor 1 or a."""
         chain: list[tuple[Row, str, int]] = []
@@ -166,6 +178,7 @@ class Parse:
     def run(self) -> Parse:
         self.mark_numbers()
         self.mark_dotted()
+        self.mark_romans()
         while self.at < len(self.rows):
             row, before = self.rows[self.at], self.at
             for rule in RULES:
@@ -366,7 +379,7 @@ def loose_operative(p: Parse, row: Row) -> bool:
 
 def item(p: Parse, row: Row) -> bool:
     m = PAREN.match(row.text)
-    if not m or p.state not in ("operative", "preamble"):
+    if not m or row.tail or p.state not in ("operative", "preamble"):
         return False
     p.open_markers.append(m[1])
     following = next((PAREN.match(r.text)[1] for r in p.rows[p.at + 1 : p.at + 4] if PAREN.match(r.text)), "")

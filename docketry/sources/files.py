@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from docketry.functions.text import normalize_symbol
@@ -57,3 +59,13 @@ def symbols_of(text: str) -> list[str]:
     """The symbols of a list's text on the driver, first mentions in order."""
     found = (re.sub(r"\s", "", line).upper() for line in text.splitlines() if not line.lstrip().startswith("#"))
     return list(dict.fromkeys(s for s in found if s))
+
+
+def readable(*readers: Callable[[], DataFrame]) -> DataFrame | None:
+    """The first source whose schema can be read; None where none can, so that what needs it is left out."""
+    for read in readers:
+        try:
+            return read()
+        except AnalysisException:
+            continue
+    return None

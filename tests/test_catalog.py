@@ -123,3 +123,45 @@ def test_volume_split(spark):
     out = ledger.split_volume(rows, F.col("text").rlike(r"^\d+/\d+\."), F.col("text") == "Resolution adopted", F.concat(F.lit("R/"), number), reach=3)
     # 1/1 is found twice, the longer slice stays; 1/2 has no adoption line of its own within reach.
     assert {(r.child, r.start, r.n) for r in out.collect()} == {("R/1/1", 7, 5)}
+
+
+def test_interrupted_swaps_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old, new = (spark.createDataFrame([(1, v), (2, v)], "k int, v string") for v in ("old", "new"))
+    seen = lambda: sorted(r.v for r in upserts.stored(spark, path).collect())
+    assert upserts.stored(spark, path) is None
+    upserts.replace_table(old, path)
+    # Before the swap: an unfinished new table beside the old one.
+    (tmp_path / "t.next").mkdir()
+    assert seen() == ["old", "old"]
+    # Between the renames, the new table complete.
+    new.write.mode("overwrite").parquet(path + ".next")
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    assert seen() == ["new", "new"]
+    # Between the renames, the new table gone.
+    (tmp_path / "t").rename(tmp_path / "t.old2")
+    assert seen() == ["old", "old"]
+    upserts.replace_table(upserts.upsert(upserts.stored(spark, path), new.where("k = 1"), ["k"]), path)
+    assert seen() == ["new", "old"]
+
+
+def test_reports(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from docketry.operators import reports
+
+    df = spark.createDataFrame([(2, "b\tc", [1]), (1, None, []), (3, "x|y", None)], "k int, v string, a array<int>")
+    reports.write_tsv(df, str(tmp_path / "t"), [F.col("k")])
+    part = next((tmp_path / "t").glob("part-*")).read_text().splitlines()
+    assert part == ["k\tv\ta", "1\t\t[]", "2\tb c\t[1]", "3\tx|y\t"]
+    reports.write_json(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).orderBy("k").first().asDict() == {"k": 1, "v": None, "a": []}
+    assert reports.markdown(df, [F.col("k")], 2) == "|k|v|a|\n|-|-|-|\n|1||[]|\n|2|b c|[1]|\n\n1 more rows\n"
+
+
+def test_readable_sources(spark, tmp_path):
+    from docketry.sources import files
+
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    got = files.readable(lambda: spark.read.parquet(str(tmp_path / "none")), lambda: spark.read.parquet(str(tmp_path / "p")))
+    assert got.count() == 3 and files.readable(lambda: spark.table("no_such_table")) is None
