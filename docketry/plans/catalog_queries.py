@@ -393,7 +393,11 @@ def text_metrics_hash(spark: SparkSession, d: str) -> DataFrame:
     return metrics.text_metrics(lines(spark, d), fold=False).select("doc", "word_count", "character_count", "element_count", "content_sha256")
 
 
-@query()
+# The fold is NFKC and full case folding; on texts without compatibility characters that is NFC, lower case and ss for ß.
+@query(f"""WITH {L}, t AS (SELECT doc, position, regexp_extract_all(replace(lower(nfc_normalize(replace(replace(replace(text, '’', ''''), '‘', ''''), 'ʼ', ''''))), 'ß', 'ss'),
+        '[\\p{{L}}\\p{{N}}]+(?:''[\\p{{L}}\\p{{N}}]+)*') AS k FROM l),
+    g AS (SELECT doc, array_to_string(flatten(list(k ORDER BY position)), ' ') AS s, sum(len(k)) AS w FROM t GROUP BY doc)
+    SELECT doc, CAST(w AS BIGINT) AS word_count, CASE WHEN w > 0 THEN sha256(s) END AS content_sha256 FROM g""")
 def text_metrics_folded(spark: SparkSession, d: str) -> DataFrame:
     return metrics.text_metrics(lines(spark, d)).select("doc", "word_count", "content_sha256")
 
