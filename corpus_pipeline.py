@@ -10,6 +10,12 @@ but the last return the columns of ``documents``.
 3. decontamination: documents that hold a benchmark item go.
 4. pii: confirmed personal data is masked in place.
 5. packing: what is left is tokenised and dealt into sequences.
+
+Defined cases, for every stage: null and empty texts are clean, hold nothing and
+stay (a packed one is its end id alone); texts of any length are read whole; rows
+with a null id stay; repeated rows are judged alike, and of rows with one id and one text
+one stays; an empty table gives an empty result; further columns, whatever their
+names, are handed through as they are (the last stage returns its own).
 """
 
 from __future__ import annotations
@@ -23,22 +29,27 @@ from docketry.session import table, write_shared
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores under one half; labels come from the table ``labels``."""
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of every class of near copies; equal ids and texts once."""
     return ngram_join.keep_one(docs, k=5, percent=80)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage that is a benchmark item within its edit budget."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, confirmed personal data replaced by its kind; ``n_chars`` stays that of the source."""
     return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row a piece of a document, dealt into sequences of at most 2048 ids; null ids and repeats are packed too."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -56,6 +56,7 @@ from pyspark.sql import functions as F
 
 from docketry.llm.components import components
 from docketry.llm.shingles import fingerprint, mix, second_print, shingle_sets
+from docketry.llm.sieve import sieve
 from docketry.session import ship_package, unused, write_shared
 
 BAND = 1.7
@@ -291,10 +292,10 @@ class Join:
         k, identify = self.k, self.identify()
         wanted = buckets.select("node").distinct()
         rep = self.nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
-        # Written, it has a size that the planner knows: a small list of ids leaves the texts where they are.
         rep = write_shared(rep, "join-reps")
         wanted = rep.select("node")
-        named = self.docs.join(rep.select(F.col("rep").cast("string").alias("i")), "i", "left_semi")
+        asked = self.docs.where(sieve(rep, "rep")(F.col("i")))  # most texts stay where they are
+        named = asked.join(rep.select(F.col("rep").cast("string").alias("i")), "i", "left_semi")
         texts = named.unionByName(self.docs.where("i IS NULL"))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -489,12 +490,14 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = write_shared(join(docs, k, percent), "join-result")
     own, whole = unused(docs, "id"), unused(docs, "row")
     gone = found.where("doc_id IS NOT NULL AND component_id != doc_id").select(F.col("doc_id").alias(own)).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col(own), "left_anti")
+    gone = write_shared(gone, "join-gone")
+    among = sieve(gone, own)(F.col("doc_id"))
+    kept = docs.where(among).join(gone, F.col("doc_id") == F.col(own), "left_anti").unionByName(docs.where(~among))
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own))
     again = write_shared(again, "join-again")
     if again.isEmpty():
         return kept
-    once = kept.join(again, kept["doc_id"] == F.col(own), "left_anti")
-    twice = kept.join(again, kept["doc_id"] == F.col(own), "left_semi").select(F.struct("*").alias(whole))
+    once = kept.join(again, F.col("doc_id") == F.col(own), "left_anti")
+    twice = kept.join(again, F.col("doc_id") == F.col(own), "left_semi").select(F.struct("*").alias(whole))
     one = twice.groupBy(f"{whole}.doc_id", f"{whole}.text").agg(F.first(whole).alias(whole)).select(f"{whole}.*")
     return once.unionByName(one)

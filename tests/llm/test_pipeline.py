@@ -63,3 +63,24 @@ def test_stages_keep_the_columns(spark, folder):
     docs = table(spark, folder, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns, name
+
+
+def test_stages_on_odd_tables(spark, folder):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __id int, row int, clear string, __spans int, component_id int"
+    long = "word " * 60_000 + "mail me@mail.example"
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "s", 0), (None, "no id here", "en", None, 3), (4, long, "en", "s", len(long)), (5, "plain words in a row of some length", "en", "s", 1),
+        (5, "plain words in a row of some length", "en", "s", 1), (6, " \t\n", "de", "s", 3),
+    ]
+    docs = spark.createDataFrame([(*r, 1, 2, "c", 3, 4) for r in rows], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        kept = sorted((str(r.doc_id) for r in out.collect()))
+        assert kept == sorted(["1", "2", "None", "4", "5", "6"] + ["5"] * (name != "near_duplicates")), name
+        assert stage(spark, docs.limit(0), folder).collect() == [], name
+        assert all((r["__id"], r["row"], r["clear"], r["__spans"], r["component_id"]) == (1, 2, "c", 3, 4) for r in out.collect())
+    masked = {r.doc_id: r.text for r in corpus_pipeline.masked(spark, docs, folder).collect()}
+    assert masked[4].endswith("mail [EMAIL]") and masked[1] is None and masked[2] == ""
+    packed = corpus_pipeline.packed(spark, docs, folder)
+    assert {r.doc_id for r in packed.collect()} == {1, 2, None, 4, 5, 6} and corpus_pipeline.packed(spark, docs.limit(0), folder).collect() == []
