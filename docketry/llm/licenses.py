@@ -323,11 +323,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         shared = F.size(known(two, every))
         return (shared >= many) & (shared >= least * F.size(two)) & F.exists(two, lambda p: p.isin(apart))
 
-    words = F.filter(F.split(F.lower("paragraph"), "[^a-z0-9]+"), lambda w: w != "")
+    words = F.regexp_extract_all(F.lower("paragraph"), F.lit("[a-z0-9]+"), F.lit(0))
+    # A line without a first and a second word of an own pair side by side has none: most lines end here.
+    firsts, seconds = (sorted({p.split(" ")[i] for p in apart}) for i in (0, 1))
+    beside = F.zip_with("words", shifted(F.col("words"), 1), lambda a, b: a.isin(firsts) & b.isin(seconds))
     spots = F.transform(F.col("all"), lambda p, i: F.when(p.isin(every), i + 1))
     lines = (
         docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "paragraph"))
         .select("doc_id", "line", words.alias("words"))
+        .where(F.exists(beside, lambda x: F.coalesce(x, F.lit(False))))
         .select("doc_id", "line", "words", in_pairs(F.col("words")).alias("all"))
         .where(F.exists("all", lambda p: p.isin(apart)))
         .select("doc_id", "line", "words", F.array_distinct("all").alias("two"), F.filter(spots, lambda i: i.isNotNull()).alias("hits"))
