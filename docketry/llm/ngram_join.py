@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from docketry.llm.components import components
 from docketry.llm.shingles import fingerprint, mix, second_print, shingle_sets
-from docketry.llm.sieve import sieve
+from docketry.llm.sieve import among, passed, places, sieve
 from docketry.session import ship_package, unused, write_shared
 
 BAND = 1.7
@@ -294,13 +294,14 @@ class Join:
         rep = self.nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
         rep = write_shared(rep, "join-reps")
         wanted = rep.select("node")
-        asked = self.docs.where(sieve(rep, "rep")(F.col("i")))  # most texts stay where they are
-        named = asked.join(rep.select(F.col("rep").cast("string").alias("i")), "i", "left_semi")
-        texts = named.unionByName(self.docs.where("i IS NULL"))
+        asked = sieve(rep, "rep")
+        a, b, c = places(F.col("i").cast("bigint"))
+        texts = self.docs.select("i", "t", a.alias("a"), b.alias("b"), c.alias("c"))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 rows, held = [], 0
+                batch = batch[passed(asked.value, [batch[x] for x in "abc"]) | batch["i"].isna().to_numpy()]
                 for s in sets_of(batch, k):
                     n = len(s)
                     if n:
@@ -314,7 +315,7 @@ class Join:
                     yield pd.DataFrame(rows, columns=["node", "n", "fine", "coarse", "s"])
 
         sets = texts.mapInPandas(run, "node bigint, n bigint, fine binary, coarse binary, s binary")
-        # Ids that several texts have may bring sets along that nobody asked for.
+        # The sieve, and ids that several texts have, bring sets along that nobody asked for.
         return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
     def verify(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -491,8 +492,8 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     own, whole = unused(docs, "id"), unused(docs, "row")
     gone = found.where("doc_id IS NOT NULL AND component_id != doc_id").select(F.col("doc_id").alias(own)).distinct()
     gone = write_shared(gone, "join-gone")
-    among = sieve(gone, own)(F.col("doc_id"))
-    kept = docs.where(among).join(gone, F.col("doc_id") == F.col(own), "left_anti").unionByName(docs.where(~among))
+    listed = among(sieve(gone, own), F.col("doc_id"))
+    kept = docs.where(listed).join(gone, F.col("doc_id") == F.col(own), "left_anti").unionByName(docs.where(~listed))
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own))
     again = write_shared(again, "join-again")
     if again.isEmpty():

@@ -18,28 +18,37 @@ BITS = 1 << POWER
 HASHES = 3
 
 
-def _places(key: Column) -> list[Column]:
-    return [F.shiftrightunsigned(F.xxhash64(key, F.lit(j)), 64 - POWER).cast("int") for j in range(HASHES)]
+def places(key: Column) -> list[Column]:
+    """The key's bits, null of a null key."""
+    return [F.when(key.isNotNull(), F.shiftrightunsigned(F.xxhash64(key, F.lit(j)), 64 - POWER).cast("int")) for j in range(HASHES)]
 
 
 def sieve(ids: DataFrame, column: str):
-    """Function of a key column: whether ``ids`` may hold the key; false for null keys.
+    """The bits of ``ids`` as a broadcast array of words.
 
-    The bits are joined where the ids are; at most ``BITS`` / 64 words reach the driver.
+    They are joined where the ids are; at most ``BITS`` / 64 words reach the driver.
     """
-    places = ids.where(F.col(column).isNotNull()).select(F.explode(F.array(*_places(F.col(column).cast("bigint")))).alias("p"))
-    words = places.groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("v")).toPandas()
+    found = ids.where(F.col(column).isNotNull()).select(F.explode(F.array(*places(F.col(column).cast("bigint")))).alias("p"))
+    words = found.groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("v")).toPandas()
     bits = np.zeros(BITS // 64, dtype=np.uint64)
     bits[words["w"].to_numpy(dtype=np.int64)] = words["v"].to_numpy(dtype=np.int64).view(np.uint64)
-    held = ids.sparkSession.sparkContext.broadcast(bits)
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def passed(bits: np.ndarray, columns: list[pd.Series]) -> np.ndarray:
+    """Which keys, given by their places, may be in the list; null keys are not."""
+    ok = columns[0].notna().to_numpy()
+    for s in columns:
+        p = s.fillna(0).to_numpy(dtype=np.int64)
+        ok &= (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return ok
+
+
+def among(held, key: Column) -> Column:
+    """Whether the list of ``held`` may hold a key."""
 
     @F.pandas_udf("boolean")
-    def among(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        known = held.value
-        ok = np.ones(len(a), dtype=bool)
-        for s in (a, b, c):
-            p = s.to_numpy(dtype=np.int64)
-            ok &= (known[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
-        return pd.Series(ok)
-
-    return lambda key: key.isNotNull() & among(*_places(key.cast("bigint")))
+    def test(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series(passed(held.value, [a, b, c]))
+
+    return test(*places(key.cast("bigint")))

@@ -176,10 +176,10 @@ def test_long_texts_are_cut_at_words(monkeypatch):
 def test_sieve_lets_every_listed_id_through(spark):
     from pyspark.sql import functions as F
 
-    from docketry.llm.sieve import sieve
+    from docketry.llm.sieve import among, sieve
 
     ids = spark.createDataFrame([(i,) for i in [*range(0, 30_000, 3), -5, None, 2**62]], "k long")
     rows = spark.range(30_000).select(F.col("id").cast("string").alias("i")).unionByName(spark.createDataFrame([("-5",), (None,), (str(2**62),)], "i string"))
-    got = {r.i for r in rows.where(sieve(ids, "k")(F.col("i"))).collect()}
+    got = {r.i for r in rows.where(among(sieve(ids, "k"), F.col("i"))).collect()}
     assert {str(i) for i in range(0, 30_000, 3)} | {"-5", str(2**62)} <= got and None not in got and len(got) < 10_100
-    assert rows.where(sieve(ids.limit(0), "k")(F.col("i"))).count() == 0
+    assert rows.where(among(sieve(ids.limit(0), "k"), F.col("i"))).count() == 0
