@@ -186,11 +186,22 @@ def verbs() -> list[Verb]:
     return out
 
 
-def surfaces() -> dict[str, tuple[Verb, str]]:
-    """Surface -> (verb, form), the first entry of each."""
+# Verbs whose bare form may head an item below a clause.
+IMPERATIVES = (
+    "request", "call upon", "call on", "call for", "urge", "encourage", "invite", "demand", "recommend", "remind", "direct", "appeal", "recognize",
+    "acknowledge", "reaffirm", "recall", "reiterate", "affirm", "decide", "resolve", "commit", "endorse", "adopt", "approve", "establish", "note",
+    "take note", "welcome", "condemn", "deplore", "stress", "emphasize", "underline", "underscore", "highlight", "commend", "consider", "determine",
+    "authorize", "proclaim",
+)
+
+
+def surfaces(bare: bool = False) -> dict[str, tuple[Verb, str]]:
+    """Surface -> (verb, form), the first entry of each; with ``bare`` the imperatives as well."""
     out: dict[str, tuple[Verb, str]] = {}
     for v in verbs():
         for form, names in (("operative", v.operative), ("preambular", v.preambular)):
             for s in names:
                 out.setdefault(s, (v, form))
+        if bare and v.lemma in IMPERATIVES:
+            out.setdefault(v.lemma, (v, "operative"))
     return out

@@ -32,7 +32,7 @@ def _either(words) -> str:
 
 @cache
 def _table() -> tuple[str, str, str]:
-    found = lx.surfaces()
+    found = lx.surfaces(bare=True)
     whole = {
         s: {"lemma": v.lemma, "category": v.category, "form": form, "force": v.force, "sentiment": v.sentiment, "bindingness": v.bindingness,
             "budget": v.budget, "addressee": v.addressee, "carrier": v.carrier}
@@ -78,8 +78,11 @@ def describe(rows: DataFrame, text: str = "text", kind: str = "paragraph_type",
         ("noun", F.when(
             c("e")["carrier"] == "express",
             F.try_element_at(F.filter(F.slice(F.filter(F.split(F.lower(c("tail")), r"[^\p{L}-]+"), lambda w: w != ""), 1, 4), lambda w: ~w.isin(*lx.FILLERS)), F.lit(1)),
-        ).when(c("e")["carrier"].isNotNull(), F.lower(F.regexp_extract(c("tail"), r"(?i)^with\s+(.{0,60})", 1)))),
-        ("pole", F.when(c("noun").rlike(rf"\b(?:{_either(lx.NEGATIVE)})\b"), -1).when(c("noun").rlike(rf"\b(?:{_either(lx.POSITIVE)})\b"), 1)),
+        ).when(c("e")["carrier"].isNotNull(), F.lower(F.regexp_extract(c("tail"), r"(?i)^with\s+(?:(?:deep|grave|serious|profound)\s+)?([a-z]+)", 1)))),
+        # What is expressed, or noted with, gives the polarity; any other object is neutral.
+        ("pole", F.when(c("noun").isin(*lx.NEGATIVE), -1).when(c("noun").isin("appreciation", "satisfaction"), 1)
+            .when((c("e")["carrier"] == "express") & c("noun").isin("gratitude", "support"), 1)
+            .when((c("e")["carrier"] != "express") & c("noun").isin(*lx.POSITIVE, "interest"), 1).when(c("e")["carrier"].isNotNull(), 0)),
         ("second", F.lower(F.regexp_extract(F.substring(c("tail"), 1, 80), rf"(?i)^.{{0,60}}?\band (?:(?:{mods})[ ,]+)?({names})(?![\p{{L}}])", 1))),
         ("to", F.when(c("e")["addressee"], F.regexp_extract(c("tail"), r"^(.*?)\s+to(?=\s|$)", 1))),
         ("span", F.when(c("to") != "", c("to")).when(c("e")["addressee"], F.regexp_extract(c("tail"), r"^([^;:]*)", 1))),
@@ -102,6 +105,8 @@ def describe(rows: DataFrame, text: str = "text", kind: str = "paragraph_type",
             m.alias("text"),
         ),
     )
+    noted = ~express & (c("pole") != 0)
+    listed = F.when(noted, F.concat(listed, F.array(F.struct(F.lit("qualifier").alias("kind"), F.concat(F.lit("with "), c("noun")).alias("text"))))).otherwise(listed)
     spoken = F.when(c("will") != "", c("will")).otherwise(F.concat_ws(" ", F.nullif(F.lower(F.trim(c("lead"))), F.lit("")), F.lower(c("found"))))
     second = entries[c("second")]
     made = F.struct(

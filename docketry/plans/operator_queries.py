@@ -188,6 +188,22 @@ planted(
     ],
 )
 
+ITEMS = [
+    "Request the Secretary-General to report", "Provide all means", "Expresses its deep hope that it will", "Expresses its gratitude to the Board", "Notes with deep concern the delay",
+    "Notes with interest the report", "Notes with the Board the report", "Expresses its support for the plan", "Expressing concern at the delay", "Decides to act and requests the Board to report",
+]
+planted(
+    "verb_carriers",
+    lambda rows: actions.flattened(
+        actions.annotate(rows([(i, t, "preambular" if t.startswith("Expressing") else "operative", 1, None) for i, t in enumerate(ITEMS)], "position int, text string, paragraph_type string, level int, prefix string"))
+    ).withColumn("qualifier", F.get(F.filter("action_modifiers", lambda m: m["kind"] == "qualifier"), 0)["text"]),
+    "position action_verb_normalized action_sentiment qualifier",
+    [
+        (0, "request", 0, None), (1, None, None, None), (2, "express", 0, None), (3, "appreciate", 1, None), (4, "note", -1, "with concern"), (5, "note", 1, "with interest"), (6, "note", 0, None),
+        (7, "support", 1, None), (8, "express concern", -1, None), (9, "decide", 0, None),
+    ],
+)
+
 PLAIN = ["The committee considered the annual report", "It decided to continue the review of standards", "Members expressed appreciation for the secretariat"]
 STRUCTURE = "position int, type string, subtype string, section string, annex_index int, paragraph_type string, level int, prefix string, text string, raw_positions array<int>"
 
