@@ -67,7 +67,9 @@ def structs(tag: str, parts: dict[str, str], needs: tuple[str, ...] | None = Non
 def parse(records: DataFrame) -> DataFrame:
     """Catalogue rows of (xml); records whose control number is not all digits are left out."""
     bare = F.regexp_replace(F.regexp_replace("xml", r"<(/?)\w+:", "<$1"), r"\sxmlns(:\w+)?=\"[^\"]*\"", "")
-    parsed = records.select("xml", F.from_xml(bare, RECORD, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}).alias("r"))
+    read = F.from_xml(bare, RECORD, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    # Out of a generator, since the filter below would else be pushed under it and read every record a second time.
+    parsed = records.select("xml", F.explode_outer(F.array(read)).alias("r"))
     number = F.try_element_at(F.filter("r.controlfield", lambda c: c["_tag"] == "001"), F.lit(1))["_VALUE"]
     rows = parsed.withColumn("__id", F.trim(number)).where(F.col("__id").rlike("^[0-9]+$"))
     out = rows.select(
